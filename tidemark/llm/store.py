@@ -48,16 +48,12 @@ def ranked(df: DataFrame, keys: list[str], bucket: F.Column, order: list[F.Colum
     starts = saved(sizes.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n"), folder, f"starts-{name}-{uuid.uuid4().hex[:6]}")
     row = F.row_number().over(Window.partitionBy(*inner).orderBy(*order)) - 1
     numbered = cut.withColumn("_row", row)
-    match = [numbered[k].eqNullSafe(starts[k]) for k in inner]
-    cond = match[0]
-    for m in match[1:]:
-        cond = cond & m
-    return numbered.join(starts.withColumnsRenamed({k: f"_s_{k}" for k in inner}), _null_safe(numbered, inner), "left").withColumn(
-        name, (F.col("_row") + F.col("_before")).cast("long")
-    ).drop("_row", "_before", "_bucket", *[f"_s_{k}" for k in inner])
+    starts = starts.withColumnsRenamed({k: f"_s_{k}" for k in inner})
+    joined = numbered.join(starts, _null_safe(inner), "left")
+    return joined.withColumn(name, (F.col("_row") + F.col("_before")).cast("long")).drop("_row", "_before", "_bucket", *[f"_s_{k}" for k in inner])
 
 
-def _null_safe(df: DataFrame, keys: list[str]) -> F.Column:
+def _null_safe(keys: list[str]) -> F.Column:
     cond = F.lit(True)
     for k in keys:
         cond = cond & F.col(k).eqNullSafe(F.col(f"_s_{k}"))

@@ -75,7 +75,7 @@ class WordEncoder:
 
     def encode(self, column: pa.Array):
         """Yields (row, ids of its text as uint32) for every row."""
-        for low, block in blocks(column, marks=True):
+        for low, block in blocks(column, 2 << 20, marks=True):
             block.lowered_letters()
             distinct, at, which = np.unique(block.hashes(), return_index=True, return_inverse=True)
             if len(self.known) > self.most:
