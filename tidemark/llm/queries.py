@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import packing, records
+from tidemark.llm import packing, quality_rules, records
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
 def op2_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.round_trip(documents(spark, sf_dir))
 
@@ -21,8 +25,12 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.verdicts(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_token_records, op3_packing)}
+    return {f.__name__: f for f in (op2_token_records, op3_packing, op8_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
