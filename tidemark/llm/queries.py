@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import packing, quality_rules, records
+from tidemark.llm import packing, quality_rules, records, sharding
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,8 +29,12 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.verdicts(documents(spark, sf_dir), labels(spark, sf_dir))
 
 
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(documents(spark, sf_dir), 40)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_token_records, op3_packing, op8_quality_rules)}
+    return {f.__name__: f for f in (op2_token_records, op3_packing, op4_sharding, op8_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
