@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import near_dups, packing, quality_rules, records, sharding
+from tidemark.llm import decontamination, near_dups, packing, quality_rules, records, sharding
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,8 +37,12 @@ def op7_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.near_duplicates(documents(spark, sf_dir), percent=85)
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contamination(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_token_records, op3_packing, op4_sharding, op7_near_dups, op8_quality_rules)}
+    return {f.__name__: f for f in (op2_token_records, op3_packing, op4_sharding, op7_near_dups, op8_quality_rules, op9_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
