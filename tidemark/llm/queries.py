@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontamination, near_dups, packing, quality_rules, records, secret_scan, sharding
+from tidemark.llm import decontamination, licenses, near_dups, packing, quality_rules, records, secret_scan, sharding
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,8 +45,12 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scanned(documents(spark, sf_dir))
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scanned(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_token_records, op3_packing, op4_sharding, op5_secret_scan, op7_near_dups, op8_quality_rules, op9_decontamination)}
+    return {f.__name__: f for f in (op2_token_records, op3_packing, op4_sharding, op5_secret_scan, op7_near_dups, op8_quality_rules, op9_decontamination, op10_license_scan)}
 
 
 def oracle_sql() -> dict[str, str]:
