@@ -285,3 +285,18 @@ def near_duplicates(docs: DataFrame, percent: int = 80, k: int = 5, miss: float
     out = signed.select("doc_id", "n_shingles", "cls").join(named, "cls", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def deduplicated(docs: DataFrame, percent: int = 80, k: int = 5) -> DataFrame:
+    """docs with one row of each component left, the one of the smallest doc_id; all columns stay.
+
+    Rows without words or without a doc_id all stay. Of repeated rows of one doc_id one stays.
+    """
+    folder = scratch(docs.sparkSession, "deduplicated")
+    judged = saved(near_duplicates(docs, percent, k).select("doc_id", "kept"), folder, "judged")
+    gone = judged.where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
+    out = docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    again = judged.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    if again.limit(1).count():
+        out = out.where(F.col("doc_id").isNull()).unionByName(out.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"]))
+    return out
