@@ -185,4 +185,6 @@ def verdicts(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def filtered(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows that base rules and learned rules keep, with all their own columns."""
-    return judged(docs, learned(docs, labels)).where("kept").select("doc.*")
+    # a filter is not moved below a row number, where it would compute the statistics once for each use of them
+    numbered = judged(docs, learned(docs, labels)).select("doc", "kept", F.monotonically_increasing_id().alias("row"))
+    return numbered.where(F.col("kept") & (F.col("row") >= 0)).select("doc.*")
