@@ -1,0 +1,70 @@
+"""Exact assignment of candidates to slots, a group at a time."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
+
+
+def best_assignment(gain: np.ndarray) -> list[int]:
+    """For each row (slot) the column (candidate) that makes the total gain largest; -1 for none.
+
+    -inf marks a pair that isn't allowed. Shortest augmenting paths with potentials, on a square
+    matrix in which unfilled slots and unused candidates cost nothing.
+    """
+    slots, people = gain.shape
+    n = slots + people
+    big = 1e9
+    cost = np.zeros((n, n))
+    cost[:slots, :people] = np.where(np.isfinite(gain), -gain, big)
+    u, v = np.zeros(n + 1), np.zeros(n + 1)
+    match = np.zeros(n + 1, dtype=int)
+    for i in range(1, n + 1):
+        match[0], j = i, 0
+        dist, via, done = np.full(n + 1, np.inf), np.zeros(n + 1, dtype=int), np.zeros(n + 1, dtype=bool)
+        while True:
+            done[j] = True
+            row = match[j]
+            slack = cost[row - 1] - u[row] - v[1:]
+            free = ~done[1:]
+            better = free & (slack < dist[1:])
+            dist[1:][better], via[1:][better] = slack[better], j
+            k = int(np.where(free, dist[1:], np.inf).argmin()) + 1
+            step = dist[k]
+            u[match[done]] += step
+            v[done] -= step
+            dist[~done] -= step
+            j = k
+            if match[j] == 0:
+                break
+        while j:
+            match[j], j = match[via[j]], via[j]
+    out = [-1] * slots
+    for j in range(1, people + 1):
+        if 0 < match[j] <= slots and np.isfinite(gain[match[j] - 1, j - 1]):
+            out[match[j] - 1] = j - 1
+    return out
+
+
+def assigned(pool: DataFrame, group: str, candidate: str, kind: str, score: str, slots: dict[str, list[str]], schema: str) -> DataFrame:
+    """Fill each group's slots from its candidates with the largest total score.
+
+    slots: name to the kinds it takes. Rows without a score can't be taken, and neither can more of
+    a slot than there are candidates: such a slot is left out. A group is one team's roster, tens
+    of rows. Returns group, slot, candidate and score under `schema`.
+    """
+
+    def fill(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows[rows[score].notna()].sort_values(candidate)
+        names = list(slots)
+        gain = np.array([[s if k in slots[n] else -np.inf for k, s in zip(rows[kind], rows[score], strict=True)] for n in names]).reshape(len(names), len(rows))
+        # every allowed pair gains something, so that a slot stays empty only when it must
+        picks = best_assignment(gain + 1e6) if len(rows) else []
+        found = [(rows[group].iloc[0], names[i], rows[candidate].iloc[j], float(rows[score].iloc[j])) for i, j in enumerate(picks) if j >= 0]
+        return pd.DataFrame(found, columns=[group, "slot", candidate, score])
+
+    fill_group: Callable = fill
+    return pool.select(group, candidate, kind, score).groupBy(group).applyInPandas(fill_group, schema)
