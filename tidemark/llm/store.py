@@ -65,7 +65,8 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, fold: int, held: in
 
     The fold is crc32 of doc_id as text modulo fold; rows whose remainder is held are left out.
     Rows are taken by the hash of doc_id, so the sample does not depend on partitions. Rows with a
-    null label or null doc_id are left out; a doc_id with several labels counts with its largest.
+    null label or null doc_id are left out; a doc_id with several labels counts with its largest,
+    one with several texts with its smallest.
     """
     train = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & (F.crc32(F.col("doc_id").cast("string")) % fold != held))
     train = train.groupBy("doc_id").agg(F.max(label).alias("_label"))
@@ -74,4 +75,5 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, fold: int, held: in
         part = train.where(F.col("_label") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
         picked = part if picked is None else picked.unionByName(part)
     few = F.broadcast(picked)  # at most 2 * most rows of two numbers
-    return docs.join(few, "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "_label", *columns)
+    rows = docs.select("doc_id", F.struct(*columns).alias("_row")).join(few, "doc_id")
+    return rows.groupBy("doc_id").agg(F.min("_label").alias("_label"), F.min("_row").alias("_row")).select("doc_id", "_label", "_row.*")
