@@ -14,10 +14,11 @@ def scratch(spark: SparkSession, name: str) -> str:
 
     Only where that setting is absent (local tests) is a folder of this machine taken.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        context.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="tidemark-"))
+        base = context.getCheckpointDir()
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
