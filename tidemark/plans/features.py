@@ -50,13 +50,13 @@ def g14_efficiency(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(f"""with {_DAYS} select user_id, count(*) as n_days, round(stddev_pop(n) / nullif(avg(n), 0), 6) as variation, round(avg(case when n >= 4 then 1.0 else 0.0 end), 6) as boom_rate,
-round(regr_slope(n, i), 6) as slope from (select *, row_number() over (partition by user_id order by day) as i from days) group by user_id having count(*) >= 2""")
+round(regr_slope(n, i), 6) + 0.0 as slope from (select *, row_number() over (partition by user_id order by day) as i from days) group by user_id having count(*) >= 2""")
 def g16_shape(spark: SparkSession, d: str) -> DataFrame:
     """Variation, boom rate and trend of users with at least two days."""
     rows = days(spark, d).withColumn("i", F.row_number().over(Window.partitionBy("user_id").orderBy("day")))
     return rows.groupBy("user_id").agg(
         F.count(F.lit(1)).alias("n_days"), F.round(F.stddev_pop("n") / F.nullif(F.avg("n"), F.lit(0.0)), 6).alias("variation"),
-        F.round(F.avg(F.when(F.col("n") >= 4, 1.0).otherwise(0.0)), 6).alias("boom_rate"), F.round(F.regr_slope("n", "i"), 6).alias("slope"),
+        F.round(F.avg(F.when(F.col("n") >= 4, 1.0).otherwise(0.0)), 6).alias("boom_rate"), (F.round(F.regr_slope("n", "i"), 6) + 0.0).alias("slope"),
     ).where("n_days >= 2")
 
 

@@ -228,10 +228,10 @@ def a09_spread(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "events").groupBy("event_type").agg(F.round(F.stddev_pop("value"), 6).alias("sd_pop"), F.round(F.stddev_samp("value"), 6).alias("sd_samp"), q(0.1).alias("p10"), q(0.5).alias("p50"), q(0.9).alias("p90"))
 
 
-@query("select user_id, round(regr_slope(value, i), 6) as slope from (select user_id, value, row_number() over (partition by user_id order by ts, event_id) as i from events) group by user_id")
+@query("select user_id, round(regr_slope(value, i), 6) + 0.0 as slope from (select user_id, value, row_number() over (partition by user_id order by ts, event_id) as i from events) group by user_id")
 def a11_slope(spark: SparkSession, d: str) -> DataFrame:
     out = aggregates.slope(table(spark, d, "events"), ["user_id"], [F.col("ts"), F.col("event_id")], "value")
-    return out.select("user_id", F.round("slope", 6).alias("slope"))
+    return out.select("user_id", (F.round("slope", 6) + 0.0).alias("slope"))
 
 
 @query("select round(regr_intercept(l_extendedprice, l_quantity), 4) as intercept, round(regr_slope(l_extendedprice, l_quantity), 4) as slope from lineitem")
