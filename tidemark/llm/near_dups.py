@@ -13,9 +13,9 @@ nothing however many there are. Classes that share a band key are candidates:
   leader L, D(x) and D(y) must overlap, by at least
       (|D(x)| + a * (|L| - |x|)) / 2  for any x that meets an unlinked one, and
       (|D(y)| - a * (|y| + |L|)) / (1 + a)  for an unlinked y that meets a linked one
-  elements, and so, in one order of all elements, their prefixes share an element. Elements of
-  prefixes are the keys of the next level's buckets, in which classes of one component aren't
-  paired again. By the triangle inequality of the Jaccard distance an unlinked y beyond twice the
+  elements, and so, in one order of all elements (those that L lacks first), their prefixes share
+  an element, with enough elements from there on in both. Elements of prefixes are the keys of the
+  next level's buckets, in which classes of one component aren't paired again. By the triangle inequality of the Jaccard distance an unlinked y beyond twice the
   threshold's distance meets no linked one. The last level pairs all that is left.
 """
 
@@ -35,7 +35,7 @@ BANDS, BAND_ROWS = 25, 5
 BATCH = 25
 MISS = 1e-6
 #: Classes in a bucket up to which all pairs are taken, by level.
-FEW = (16, 256, 1 << 62)
+FEW = (16, 4096, 1 << 62)
 SIZE = BANDS * BAND_ROWS
 
 
@@ -158,34 +158,38 @@ def _linked(x: int, y: int, both: int, percent: int) -> bool:
 
 
 def _verifier(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """From a, b, led (b is a's leader) and both sets: linked, and for led pairs a's prefix elements."""
+    """From a, b, led (b is a's leader) and both sets: linked, and for led pairs a's prefix of D.
+
+    The first `short` elements of the prefix meet all others, the rest only those of linked classes;
+    d is the size of D and n that of a.
+    """
     t = percent / 100
     alpha = (1 - t) / (1 + t)
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b, led, sa, sb = (batch.column(i).to_pylist() for i in range(5))
-            linked, short, more = [], [], []
+            linked, prefix, short, sizes, n_a = [], [], [], [], []
             for i in range(len(a)):
                 x, y = np.frombuffer(sa[i], dtype=np.uint64), np.frombuffer(sb[i], dtype=np.uint64)
                 both = np.intersect1d(x, y, assume_unique=True)
                 n, m, k = len(x), len(y), len(both)
                 link = _linked(n, m, k, percent)
-                linked.append(link)
-                first = second = None
+                d, first, last = None, 0, 0
                 if led[i]:
                     d = np.concatenate([np.setdiff1d(x, both, assume_unique=True), np.setdiff1d(y, both, assume_unique=True)]).view(np.int64)
-                    need = max(1, int(np.ceil((len(d) + alpha * (m - n)) / 2 - 1e-6)))
-                    first = d[: max(0, len(d) - need + 1)]
+                    first = last = len(d) - max(1, int(np.ceil((len(d) + alpha * (m - n)) / 2 - 1e-6))) + 1
                     union = n + m - k
-                    if not link and (union - k) <= 2 * (1 - t) * union + 1e-6:
-                        need = max(1, int(np.ceil((len(d) - alpha * (n + m)) / (1 + alpha) - 1e-6)))
-                        second = d[len(first) : max(0, len(d) - need + 1)]
+                    if not link and union - k <= 2 * (1 - t) * union + 1e-6:
+                        last = len(d) - max(1, int(np.ceil((len(d) - alpha * (n + m)) / (1 + alpha) - 1e-6))) + 1
+                linked.append(link)
+                prefix.append(None if d is None else d[: max(0, first, last)])
                 short.append(first)
-                more.append(second)
+                sizes.append(0 if d is None else len(d))
+                n_a.append(n)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(linked, pa.bool_()), pa.array(short, pa.list_(pa.int64())), pa.array(more, pa.list_(pa.int64()))],
-                names=["a", "b", "linked", "short", "more"],
+                [batch.column(0), batch.column(1), pa.array(linked, pa.bool_()), pa.array(prefix, pa.list_(pa.int64())), *[pa.array(c, pa.int64()) for c in (short, sizes, n_a)]],
+                names=["a", "b", "linked", "prefix", "short", "d", "n"],
             )
 
     return verify
@@ -214,24 +218,30 @@ def components(links: DataFrame, folder: str) -> DataFrame:
         labels = new.select("node", "comp")
 
 
-def _paired(buckets: DataFrame, comps: DataFrame | None, few: int, folder: str) -> tuple[DataFrame, DataFrame]:
+def _paired(buckets: DataFrame, comps: DataFrame | None, few: int, percent: int, folder: str) -> tuple[DataFrame, DataFrame]:
     """Pairs (a, b) of small buckets, and pairs (a, its leader b) of large ones.
 
-    buckets: key, cls, role (1 for elements that only meet a linked class's), linked.
+    buckets: key and cls, and for keys that are elements also role (1 for those that only meet a
+    linked class's), linked, place of the element in D, d and n. Band keys promise nothing.
     """
-    if comps is not None:
-        buckets = buckets.join(comps.withColumnsRenamed({"node": "cls"}), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
+    if comps is None:
+        sizes = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+        rows = saved(buckets.join(sizes, "key"), folder, "rows")
+        rows = rows.withColumns({"comp": F.col("cls"), "role": F.lit(0), "linked": F.lit(False), **{c: F.lit(0).cast("long") for c in ("place", "d", "n")}})
     else:
-        buckets = buckets.withColumn("comp", F.col("cls"))
-    # a bucket within one component has nothing left to link
-    sizes = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("n > 1 AND c0 <> c1").select("key", "n")
-    rows = saved(buckets.join(sizes, "key"), folder, "rows")
-    small = rows.where(F.col("n") <= few).drop("n")
-    other = small.select("key", *[F.col(c).alias(f"_{c}") for c in ("cls", "role", "linked", "comp")])
+        buckets = buckets.join(comps.withColumnsRenamed({"node": "cls"}), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
+        # a bucket within one component has nothing left to link
+        sizes = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("size > 1 AND c0 <> c1").select("key", "size")
+        rows = saved(buckets.join(sizes, "key"), folder, "rows")
+    small = rows.where(F.col("size") <= few).drop("size")
+    other = small.select("key", *[F.col(c).alias(f"_{c}") for c in ("cls", "role", "linked", "comp", "place", "d", "n")])
     meet = (F.col("role") + F.col("_role") == 0) | ((F.col("role") + F.col("_role") == 1) & (F.col("linked") != F.col("_linked")))
-    pairs = small.join(other, "key").where((F.col("cls") < F.col("_cls")) & (F.col("comp") != F.col("_comp")) & meet).select(F.col("cls").alias("a"), F.col("_cls").alias("b")).distinct()
-    large = rows.where(F.col("n") > few)
-    fame = large.groupBy("cls").agg(F.sum("n").alias("fame"))
+    # what D(x) and D(y) can still share from this element on must be enough
+    common = F.least(F.col("d") - F.col("place"), F.col("_d") - F.col("_place"))
+    enough = (100 + percent) * (F.col("d") + F.col("_d") - 2 * common) <= (100 - percent) * (F.col("n") + F.col("_n"))
+    pairs = small.join(other, "key").where((F.col("cls") < F.col("_cls")) & (F.col("comp") != F.col("_comp")) & meet & enough).select(F.col("cls").alias("a"), F.col("_cls").alias("b")).distinct()
+    large = rows.where(F.col("size") > few)
+    fame = large.groupBy("cls").agg(F.sum("size").alias("fame"))
     leaders = large.join(fame, "cls").groupBy("key").agg(F.max(F.struct("fame", "cls")).alias("top")).select("key", F.col("top.cls").alias("b"))
     led = large.select("key", F.col("cls").alias("a")).join(leaders, "key").where("a <> b").select("a", "b").distinct()
     return saved(pairs, folder, "pairs"), saved(led, folder, "led")
@@ -254,13 +264,13 @@ def near_duplicates(docs: DataFrame, percent: int = 80, k: int = 5, miss: float
     signed = saved(signed, folder, "signed")
     usable = signed.where(F.col("cls").isNotNull() & F.col("doc_id").isNotNull())
     classes = saved(usable.groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.first("sig").alias("sig"), F.first("keys").alias("keys")), folder, "classes")
-    buckets = classes.select("cls", F.explode("keys").alias("key"), F.lit(0).alias("role"), F.lit(False).alias("linked"))
+    buckets = classes.select("cls", F.explode("keys").alias("key"))
     links: DataFrame | None = None
     comps: DataFrame | None = None
     sets: DataFrame | None = None
     for level, few in enumerate(FEW):
         here = f"{folder}/level-{level}"
-        pairs, led = _paired(buckets, comps, few, here)
+        pairs, led = _paired(buckets, comps, few, percent, here)
         if sets is None:
             named = pairs.select(F.explode(F.array("a", "b")).alias("cls")).unionByName(led.select(F.explode(F.array("a", "b")).alias("cls"))).distinct()
             wanted = classes.select("cls", F.col("doc_id").alias("_id")).join(named, "cls")
@@ -270,15 +280,15 @@ def near_duplicates(docs: DataFrame, percent: int = 80, k: int = 5, miss: float
         near = pairs.join(sig.withColumnsRenamed({"cls": "a", "sig": "x"}), "a").join(sig.withColumnsRenamed({"cls": "b", "sig": "y"}), "b").select("a", "b", "x", "y")
         open_pairs = near.mapInArrow(_pruner(percent / 100, miss), "a binary, b binary").withColumn("led", F.lit(False)).unionByName(led.withColumn("led", F.lit(True)))
         full = open_pairs.join(sets.withColumnsRenamed({"cls": "a", "shingles": "x"}), "a").join(sets.withColumnsRenamed({"cls": "b", "shingles": "y"}), "b").select("a", "b", "led", "x", "y")
-        seen = saved(full.mapInArrow(_verifier(percent), "a binary, b binary, linked boolean, short array<long>, more array<long>"), here, "seen")
+        seen = saved(full.mapInArrow(_verifier(percent), "a binary, b binary, linked boolean, prefix array<long>, short long, d long, n long"), here, "seen")
         new = seen.where("linked").select("a", "b")
         links = saved(new if links is None else links.unionByName(new).distinct(), here, "links")
         comps = components(links, f"{here}/comps")
-        differ = seen.where(F.col("short").isNotNull())
+        differ = seen.where(F.col("prefix").isNotNull())
         if not differ.limit(1).count():
             break
-        parts = [differ.select(F.col("a").alias("cls"), "b", F.explode(c).alias("e"), F.lit(role).alias("role"), "linked") for role, c in enumerate(("short", "more"))]
-        buckets = parts[0].unionByName(parts[1]).select("cls", F.xxhash64("b", "e").alias("key"), "role", "linked")
+        elements = differ.select(F.col("a").alias("cls"), "b", F.posexplode("prefix").alias("place", "e"), "short", "linked", "d", "n")
+        buckets = elements.select("cls", F.xxhash64("b", "e").alias("key"), (F.col("place") >= F.col("short")).cast("int").alias("role"), "linked", F.col("place").cast("long").alias("place"), "d", "n")
     of_class = saved(classes.select("cls", "doc_id").join(comps.withColumnsRenamed({"node": "cls"}), "cls", "left").select("cls", "doc_id", F.coalesce("comp", "cls").alias("comp")), folder, "classed")
     lowest = of_class.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
     named = of_class.join(lowest, "comp").select("cls", "component_id")
