@@ -152,7 +152,7 @@ def test_pipeline_stages(spark, tmp_path):
     words = [f"w{i}" for i in range(500)]
     base = [prose(i, 80, words) for i in range(30)]
     item = prose(900, 30, words)
-    texts = [*base, base[0], edited(base[1].split(), 1, 5), base[2] + " " + item, base[3] + " token=abcdefghijklmnopqrst", "too short", None, prose(7, 30, words) + " " + "a b c d e f g h " * 20]
+    texts = [*base, base[0], edited(base[1].split(), 1, 5), base[2] + " " + item, prose(950, 80, words) + " token=abcdefghijklmnopqrst", "too short", None, prose(7, 30, words) + " " + "a b c d e f g h " * 20]
     table(spark, texts).select("doc_id", "text", "lang", "source", "n_chars").write.parquet(f"{tmp_path}/documents.parquet")
     labels(spark, [(1, 1, 0)]).write.parquet(f"{tmp_path}/labels.parquet")
     spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
