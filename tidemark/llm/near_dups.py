@@ -37,6 +37,8 @@ MISS = 1e-6
 #: Classes in a bucket up to which all pairs are taken, by level.
 FEW = (16, 4096, 1 << 62)
 SIZE = BANDS * BAND_ROWS
+#: Ids of dropped rows up to which they are broadcast: about 64 MB.
+MOST_BROADCAST = 2_000_000
 
 
 def _random(seed: int, n: int) -> np.ndarray:
@@ -264,6 +266,8 @@ def near_duplicates(docs: DataFrame, percent: int = 80, k: int = 5, miss: float
     signed = saved(signed, folder, "signed")
     usable = signed.where(F.col("cls").isNotNull() & F.col("doc_id").isNotNull())
     classes = saved(usable.groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.first("sig").alias("sig"), F.first("keys").alias("keys")), folder, "classes")
+    signed = saved(signed.select("doc_id", "n_shingles", "cls"), folder, "rows")
+    dropped(spark, f"{folder}/signed")  # signatures are needed by class only
     buckets = classes.select("cls", F.explode("keys").alias("key"))
     links: DataFrame | None = None
     comps: DataFrame | None = None
@@ -304,8 +308,10 @@ def deduplicated(docs: DataFrame, percent: int = 80, k: int = 5) -> DataFrame:
     """
     folder = scratch(docs.sparkSession, "deduplicated")
     judged = saved(near_duplicates(docs, percent, k).select("doc_id", "kept"), folder, "judged")
-    gone = judged.where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    out = docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    gone = saved(judged.where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct(), folder, "gone")
+    # ids alone, up to a checked number, spare a shuffle of all texts
+    side = F.broadcast(gone) if gone.count() <= MOST_BROADCAST else gone.hint("merge")
+    out = docs.join(side, docs["doc_id"] == side["_gone"], "left_anti")
     again = judged.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     if again.limit(1).count():
         out = out.where(F.col("doc_id").isNull()).unionByName(out.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"]))
