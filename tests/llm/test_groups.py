@@ -132,6 +132,24 @@ def test_toxicity_on_held_out_rows(spark):
     assert toxicity.scored(empty(spark), marks).count() == 0
 
 
+def test_toxicity_is_placed_on_all_labelled_rows(spark):
+    draw = random.Random(4)
+    words = [f"w{i}" for i in range(300)]
+    toxic = [i % 9 == 0 for i in range(2700)]
+    # both labels hold the same words, toxic rows more often, so that the best cut depends on the shares
+    texts = [prose(i, 25, words) + (f" bad{draw.randrange(4)}" if draw.random() < (0.7 if t else 0.2) else "") for i, t in enumerate(toxic)]
+    docs, marks = table(spark, texts), labels(spark, [(i + 1, 1, int(t)) for i, t in enumerate(toxic)])
+    model, thresholds = toxicity.fitted(docs, marks, most=150)
+    placed = [i for i in range(2700) if zlib.crc32(str(i + 1).encode()) % 5 and zlib.crc32(str(i + 1)[::-1].encode()) % 5 == 1]
+    z, y = toxicity.Texts.of([texts[i] for i in placed]).logits(model, np.arange(len(placed))), np.array([toxic[i] for i in placed])
+    f1 = lambda cut: 2 * y[z >= cut].sum() / ((z >= cut).sum() + y.sum())
+    assert f1(0.0) >= max(f1(c) for c in z) - 0.02
+    assert thresholds["en"] == pytest.approx(0.5)
+    model.middle += 1.0  # counts follow the model and hold each labelled row once
+    counts = toxicity.counted(docs.unionByName(docs), marks, model)
+    assert sum(sum(n) for n in counts["en"].values()) == len(placed)
+
+
 def test_quality_trees_on_held_out_rows(spark):
     texts = [prose(i, 60) if i % 4 else " ".join(w + "##" for w in prose(i, 60).split()) for i in range(600)]
     docs = table(spark, texts)

@@ -3,8 +3,9 @@
 Words are hashed twice, and a word's vector is the two buckets' vectors side by side, so that a
 word that shares one bucket with another still differs from it. Filters of several widths run over
 the words, each keeps its maximum over the text, and a logistic layer scores the maxima. The model
-is trained with Adam on a bounded sample of labelled rows; part of the sample is set aside to place
-the score's middle and each language's threshold.
+is trained with Adam on a bounded sample of labelled rows. The score's middle and each language's
+threshold are placed on a fifth of all labelled rows, which the fit never sees: they are scored in
+Spark and come back as counts by language, label and bin of the score.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.store import labelled
@@ -25,6 +26,10 @@ FILTERS = 12
 DIM = 8  # of each of a word's two vectors
 BITS = 17  # of a bucket's number
 FOLDS, HELD = 5, 0
+PLACED = 1  # remainder of the second fold, whose rows place middle and thresholds
+BINS = 64  # of the logit, to one unit
+MOST_LOGIT = 30
+LEAST_ROWS = 20  # of either label, for a language's own threshold
 
 
 @dataclass
@@ -177,28 +182,51 @@ class Texts:
         return np.concatenate(out) if out else np.zeros(0)
 
 
-def cut_point(score: np.ndarray, label: np.ndarray) -> float | None:
-    """Where the F1 measure of score >= cut is best, in the middle of the gap; None without both labels."""
-    order = np.argsort(-score)
-    s, y = score[order], label[order]
-    if not 0 < y.sum() < len(y):
+Counts = dict[int, tuple[int, int]]  # clean and toxic rows by bin
+
+
+def cut_point(counts: Counts) -> float | None:
+    """The logit from which the F1 measure is best, in the middle of the gap; None without both labels."""
+    bins = np.array(sorted(counts, reverse=True), dtype=np.int64)
+    clean, toxic = np.array([counts[b] for b in bins.tolist()], dtype=np.int64).reshape(-1, 2).T
+    if not clean.sum() or not toxic.sum():
         return None
-    hit = np.cumsum(y)
-    f1 = 2 * hit / (np.arange(1, len(y) + 1) + y.sum())
-    f1[:-1][s[:-1] == s[1:]] = 0
-    k = int(f1.argmax())
-    return float(s[k] if k + 1 == len(s) else (s[k] + s[k + 1]) / 2)
+    hit, taken = np.cumsum(toxic), np.cumsum(clean + toxic)
+    k = int((2 * hit / (taken + toxic.sum())).argmax())
+    after = bins[k + 1] + 1 if k + 1 < len(bins) else bins[k]  # the next bin's upper edge
+    return float(bins[k] + after) / 2 / BINS
+
 
+def bins_of(z: np.ndarray) -> np.ndarray:
+    return np.floor(np.clip(z, -MOST_LOGIT, MOST_LOGIT) * BINS).astype(np.int64)
 
-def train(texts: list[str], label: np.ndarray, langs: list[str | None], fold: np.ndarray, weight: np.ndarray, epochs: int = 8, size: int = 32) -> tuple[Model, dict[str, float]]:
-    """A model, and for each language the score from which a text counts as toxic.
 
-    Rows with fold % 5 == 1 are set aside: the model's middle is where their F1 measure is best,
-    and so is a language's threshold if at least 20 of its rows there are of either label, else
-    0.5. With one label only, the model scores that label's share.
+def placed(model: Model, by_lang: dict[str, Counts]) -> dict[str, float]:
+    """Move the model's middle to the best cut over all counts, and return the languages' thresholds.
+
+    A language has its own if at least LEAST_ROWS of its rows are of either label.
+    """
+    every: Counts = {}
+    for counts in by_lang.values():
+        for b, (clean, toxic) in counts.items():
+            had = every.get(b, (0, 0))
+            every[b] = (had[0] + clean, had[1] + toxic)
+    cut = cut_point(every)
+    if cut is None:
+        return {}
+    model.middle += cut
+    many = {name: c for name, c in by_lang.items() if name and min(np.array(list(c.values())).sum(axis=0)) >= LEAST_ROWS}
+    return {name: float(1 / (1 + np.exp(cut - cut_point(c)))) for name, c in many.items()}
+
+
+def train(texts: list[str], label: np.ndarray, langs: list[str | None], fold: np.ndarray, weight: np.ndarray, epochs: int = 8, size: int = 32) -> tuple[Model, dict[str, Counts]]:
+    """A model of the rows outside fold % 5 == 1, and the counts that place it where no such rows are set aside.
+
+    The counts are of the rows it was trained on. With one label only, the model scores that
+    label's share, and there are none.
     """
     model = Model.new()
-    held = fold % 5 == 1
+    held = fold % FOLDS == PLACED
     if not held.any() or held.all():
         held = np.zeros(len(label), dtype=bool)
     use = np.flatnonzero(~held)
@@ -214,32 +242,57 @@ def train(texts: list[str], label: np.ndarray, langs: list[str | None], fold: np
         adam.rate = 0.01 * (1 - epoch / epochs)
         for part in np.array_split(draw.permutation(use), max(1, len(use) // size)):
             _step(model, *data.batch(part), label[part], weight[part], adam)
-    tested = np.flatnonzero(held) if held.any() else use
-    score = data.logits(model, tested)
-    cut = cut_point(score, label[tested])
-    if cut is not None:
-        model.middle += cut
-        score = score - cut
-    thresholds = {}
-    names = np.array([x or "" for x in langs], dtype=object)[tested]
-    for name in set(names.tolist()) - {""}:
-        own = names == name
-        y = label[tested][own]
-        if min(y.sum(), len(y) - y.sum()) >= 20:
-            thresholds[name] = float(1 / (1 + np.exp(-cut_point(score[own], y))))
-    return model, thresholds
+    by_lang: dict[str, Counts] = {}
+    for i, b in zip(use.tolist(), bins_of(data.logits(model, use)).tolist(), strict=True):
+        counts = by_lang.setdefault(langs[i] or "", {})
+        clean, toxic = counts.get(b, (0, 0))
+        counts[b] = (clean + (label[i] == 0), toxic + (label[i] == 1))
+    return model, by_lang
+
+
+def _second() -> Column:
+    return F.crc32(F.reverse(F.col("doc_id").cast("string")))
+
+
+def counted(docs: DataFrame, labels: DataFrame, model: Model) -> dict[str, Counts]:
+    """Rows of all labelled documents of the second fold, outside the held one, by language and bin.
+
+    Texts are scored where they lie; numbers alone are joined with the labels. A doc_id with
+    several labels counts with its largest, one with several texts counts once.
+    """
+    inside = F.col("doc_id").isNotNull() & (F.crc32(F.col("doc_id").cast("string")) % FOLDS != HELD) & (_second() % FOLDS == PLACED)
+    lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    rows = docs.where(inside).select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce(lang, F.lit("")).alias("lang"))
+    bins = rows.mapInArrow(_binned(sent), "doc_id long, lang string, bin long")
+    marks = labels.where(inside & F.col("toxic").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").alias("label"))
+    once = bins.join(marks, "doc_id").groupBy("doc_id").agg(F.min(F.struct("lang", "bin", "label")).alias("r"))
+    found = once.groupBy("r.lang", "r.bin").agg(F.count_if(F.col("r.label") == 0).alias("clean"), F.count_if(F.col("r.label") == 1).alias("toxic")).collect()
+    out: dict[str, Counts] = {}
+    for r in found:
+        out.setdefault(r.lang, {})[r.bin] = (r.clean, r.toxic)
+    return out
 
 
 def fitted(docs: DataFrame, labels: DataFrame, most: int = 3000) -> tuple[Model, dict[str, float]]:
-    """Trained on at most about 2 * most labelled rows outside the held fold, chosen by the hash of doc_id."""
+    """Trained on at most about 2 * most labelled rows outside the held fold, chosen by the hash of doc_id.
+
+    Middle and thresholds are placed on all labelled rows of the second fold, at any size; where
+    none are or one label lacks there, on the sample that the model was trained on.
+    """
     lang = F.col("lang") if "lang" in docs.columns else F.lit(None).cast("string")
-    rows = labelled(docs, labels, "toxic", FOLDS, HELD, most, [F.coalesce("text", F.lit("")).alias("text"), lang.alias("lang"), F.crc32(F.reverse(F.col("doc_id").cast("string"))).alias("fold")]).collect()
+    rows = labelled(docs, labels, "toxic", FOLDS, HELD, most, [F.coalesce("text", F.lit("")).alias("text"), lang.alias("lang"), _second().alias("fold")]).collect()
     rows.sort(key=lambda r: r.doc_id)
     label = np.array([r._label for r in rows], dtype=np.float32)
     # the rarer label weighs more, up to threefold, so that few toxic rows still teach
     share = label.mean() if len(label) else 0.5
     weight = np.where(label == 1, np.clip((1 - share) / max(share, 1e-6), 1, 3), 1).astype(np.float32)
-    return train([r.text for r in rows], label, [r.lang for r in rows], np.array([r.fold for r in rows], dtype=np.int64), weight)
+    model, own = train([r.text for r in rows], label, [r.lang for r in rows], np.array([r.fold for r in rows], dtype=np.int64), weight)
+    if not own:
+        return model, {}
+    every = counted(docs, labels, model)
+    both = np.array([n for c in every.values() for n in c.values()]).reshape(-1, 2).sum(axis=0)
+    return model, placed(model, every if both.all() else own)
 
 
 def _scorer(sent) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -255,6 +308,18 @@ def _scorer(sent) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatc
     return score
 
 
+def _binned(sent) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = sent.value
+        for batch in batches:
+            out = np.zeros(len(batch), dtype=np.int64)
+            for low, block in blocks(batch.column(1), lower=True, word_bytes=ALNUM):
+                out[low : low + len(block)] = bins_of(logits(model, *padded(buckets(block.hashes()), block.first)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(out)], names=["doc_id", "lang", "bin"])
+
+    return score
+
+
 def scored(docs: DataFrame, labels: DataFrame, most: int = 3000) -> DataFrame:
     """One row per document row: doc_id, held_out, score, predicted (score >= 0.5), flagged.
 
