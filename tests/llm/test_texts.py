@@ -50,6 +50,17 @@ def test_decision_list_learns_and_keeps_clean_rows(spark):
     assert quality_rules.learn([]) == []
 
 
+def test_learned_rules_are_as_pure_as_all_labelled_rows(spark):
+    # of 150 bad and 1,500 good rows, 15 good ones read like the bad: a purity of 0.91, though higher in a sample of 100 each
+    shout, calm = " ".join(w + "!!" for w in prose(1, 60).upper().split()), prose(2, 60)
+    docs = table(spark, [shout if i < 150 or i % 100 == 0 else calm for i in range(1650)])
+    marks = labels(spark, [(i + 1, int(i >= 150), 0) for i in range(1650)])
+    assert quality_rules.learned(docs, marks) == []
+    assert quality_rules.learned(docs, marks, most=100) == []
+    few = labels(spark, [(i + 1, int(i >= 150), 0) for i in range(1650) if i < 150 or i % 100])
+    assert len(quality_rules.learned(docs, few, most=100)) == 1
+
+
 def test_base_secrets(spark):
     texts = [
         *ODD, 'password = "abcdefghijkl" x', "TOKEN:'short' token=abcdefghijklmnop", "api_key=secret=abcdefghijklmnopq", "AKIA" + "A" * 14 + " AKIA" + "B" * 13, "ff" * 20 + " " + "0" * 15 + " deadbeef" * 3,

@@ -1,8 +1,8 @@
 """Quality rules: fixed base rules and a decision list learned by sequential covering.
 
 Statistics, base rules and verdicts are Spark expressions alone. The list is learned on the driver
-from the statistics of a bounded sample of labelled rows, and comes back as an ordered conditional
-expression that any DataFrame with the statistics can use.
+from the statistics of a bounded sample of labelled rows, weighted back to the labels' own shares,
+and comes back as an ordered conditional expression that any DataFrame with the statistics can use.
 """
 
 from __future__ import annotations
@@ -93,8 +93,12 @@ def _covered(rule: Rule, rows: list[dict]) -> list[dict]:
     return [r for r in rows if all(c.holds(r) for c in rule)]
 
 
+def _weight(row: dict) -> float:
+    return row.get("weight", 1.0)
+
+
 def _purity(rows: list[dict]) -> float:
-    return sum(r["bad"] for r in rows) / len(rows) if rows else 0.0
+    return sum(r["bad"] * _weight(r) for r in rows) / sum(map(_weight, rows)) if rows else 0.0
 
 
 def _grown(rows: list[dict], most: int, cuts: int) -> Rule:
@@ -103,18 +107,20 @@ def _grown(rows: list[dict], most: int, cuts: int) -> Rule:
 
     rule: Rule = ()
     while len(rule) < most and 0 < _purity(rows) < 1:
-        bad, before, best = sum(r["bad"] for r in rows), log2(_purity(rows)), (0.0, None)
+        before, best = log2(_purity(rows)), (0.0, None)
         for name in FEATURES:
-            pairs = sorted((r[name], r["bad"]) for r in rows)
-            total, values = len(pairs), [p[0] for p in pairs]
-            sums = [0]
-            for _, b in pairs:
-                sums.append(sums[-1] + b)
-            edges = [i for i in range(1, total) if values[i] > values[i - 1]]
+            pairs = sorted((r[name], r["bad"], _weight(r)) for r in rows)
+            values = [p[0] for p in pairs]
+            sums, all_sums = [0.0], [0.0]
+            for _, b, w in pairs:
+                sums.append(sums[-1] + b * w)
+                all_sums.append(all_sums[-1] + w)
+            bad, total = sums[-1], all_sums[-1]
+            edges = [i for i in range(1, len(pairs)) if values[i] > values[i - 1]]
             for i in edges[:: max(1, len(edges) // cuts)]:
                 middle = (values[i - 1] + values[i]) / 2
-                for above, p, n in ((False, sums[i], i), (True, bad - sums[i], total - i)):
-                    if p and (gain := p * (log2(p / n) - before)) > best[0]:
+                for above, p, n in ((False, sums[i], all_sums[i]), (True, bad - sums[i], total - all_sums[i])):
+                    if p > 1e-9 * total and (gain := p * (log2(p / n) - before)) > best[0]:
                         best = (gain, Condition(name, above, middle))
         if best[1] is None:
             break
@@ -126,7 +132,8 @@ def _grown(rows: list[dict], most: int, cuts: int) -> Rule:
 def learn(rows: list[dict], most_rules: int = 16, most_conditions: int = 3, least_rows: int = 3, purity: float = 0.97, cuts: int = 200) -> list[Rule]:
     """An ordered list of conjunctions that cover rejected rows, by sequential covering.
 
-    rows: FEATURES, bad (1 to reject) and fold (an integer). Each rule is grown on two thirds of
+    rows: FEATURES, bad (1 to reject), fold (an integer) and weight (1 if absent), by which purity
+    and gain count a row. Each rule is grown on two thirds of
     what is left and cut back on the other third, to the shortest front part that is as pure
     there. A rule that isn't pure enough over both, or covers fewer than least_rows rejected rows,
     ends the list. Few or one-sided labels give a short or empty list, which rejects nothing.
@@ -150,10 +157,16 @@ def learn(rows: list[dict], most_rules: int = 16, most_conditions: int = 3, leas
 
 
 def learned(docs: DataFrame, labels: DataFrame, most: int = 3000) -> list[Rule]:
-    """Learn from at most about 2 * most labelled rows, chosen by the hash of doc_id."""
+    """Learn from at most about 2 * most labelled rows, chosen by the hash of doc_id.
+
+    If a label has more rows than the sample takes, its rows weigh more, so that a rule's purity is
+    that of all labelled rows, whatever their number.
+    """
+    marks = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("quality").alias("quality"))
+    weight = {r.quality: max(1.0, r.n / most) for r in marks.groupBy("quality").agg(F.count(F.lit(1)).alias("n")).collect()}
     sample = labelled(docs, labels, "quality", 1, -1, most, [F.col("text")])
     stats = statistics(sample).select(F.col("doc.doc_id").alias("id"), F.col("doc._label").alias("label"), base_failed().alias("failed"), F.crc32(F.col("doc.doc_id").cast("string")).alias("fold"), *FEATURES)
-    rows = [{**{f: float(r[f]) for f in FEATURES}, "bad": int(r["label"] == 0), "fold": r["fold"] >> 4} for r in sorted(stats.collect(), key=lambda r: r["id"]) if not r["failed"]]
+    rows = [{**{f: float(r[f]) for f in FEATURES}, "bad": int(r["label"] == 0), "fold": r["fold"] >> 4, "weight": weight[r["label"]]} for r in sorted(stats.collect(), key=lambda r: r["id"]) if not r["failed"]]
     return learn(rows)
 
 
