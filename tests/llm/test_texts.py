@@ -1,7 +1,9 @@
 """Quality rules, secrets, licenses and decontamination against plain loops."""
 
 import hashlib
+import random
 import re
+import string
 from collections import Counter
 
 import pytest
@@ -96,6 +98,18 @@ def test_redaction(spark):
     assert secret_scan.redacted(empty(spark)).count() == 0
 
 
+def test_random_strings_of_any_form(spark):
+    draw = random.Random(8)
+    letters = ["".join(draw.choice(string.ascii_letters) for _ in range(n)) for n in (16, 17, 19, 20, 24, 40)]
+    secrets = [*letters, "kqxjzwvbtrmpldfghcns1234", "xK9mQ2vLp8RtZw4N"]
+    path = "/usr/local/share/documentation/reference/configuration/examples/readable/"
+    names = ["Donaudampfschifffahrtsgesellschaft", "anticonstitutionnellement", "THIS_IS_A_CONSTANT_NAME", "http_status_code_404_not_found", path, "-" * 40, "1234-5678-9012-3456-7890"]
+    rows = {r.doc_id: r for r in secret_scan.scanned(table(spark, [f"see {x} there" for x in [*secrets, *names, path + "xK9mQ2vLp8RtZw4NbY7c"]])).collect()}
+    assert [rows[i + 1].n_random for i in range(len(rows))] == [1] * len(secrets) + [0] * len(names) + [1]
+    at = 4 + len(path)
+    assert rows[len(rows)].spans == f"random:{at}:{at + 20}"
+
+
 def test_license_base(spark):
     texts = [
         *ODD, "Released under the MIT License. Under the mit-license!", "CC BY-NC 4.0 cc by nc cc by nc", "Apache License, Version 2.0; apache license version 20", "mit license under the", "é apache é license", "x" + " under the mit license" * 300,

@@ -1,10 +1,11 @@
 """Secrets in texts: patterns of known forms, and a token-efficiency test for random strings.
 
 A vocabulary of byte pairs learned from prose and code needs few tokens for words and names, and
-many for random strings. A run of 20 or more letters, digits and + / _ = - that has both letters
-and digits and gives at most RATIO characters a token is held to be random, unless it is a known
-digest (hexadecimal of a digest's length), a UUID, or an identifier (parts of letters with digits
-at their ends only, such as field_name_2 or someName12).
+many for random strings. A run of 16 or more letters, digits and + / _ = - that has a letter and
+gives at most RATIO characters a token is held to be random, and so is a part of it between the
+signs. Known digests (hexadecimal of a digest's length), UUIDs and times are cut out before. An
+identifier (parts of letters with digits at their ends only, such as field_name_2 or someName12)
+is none if its words alone give more characters a token.
 """
 
 from __future__ import annotations
@@ -32,11 +33,17 @@ RATIO = 2.2
 _assign, _access = re.compile(PATTERNS["assign"], re.ASCII), re.compile(PATTERNS["access"])
 _hex = re.compile(r"[0-9a-f]{16,}")  # runs are whole, so only long ones count
 _words = ("password", "passwd", "secret", "token", "apikey", "api_key")
-_run = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
-_digest = re.compile(r"[0-9a-fA-F]+")
-_uuid = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
+_run = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+_stretch = re.compile(r"[A-Za-z0-9](?:[A-Za-z0-9+/_=-]*[A-Za-z0-9])?=*")
+_known = re.compile(
+    r"(?<![A-Za-z0-9])(?:[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}|[0-9]{4}-?[0-9]{2}-?[0-9]{2}T[0-9]{2}-?[0-9]{2}-?[0-9]{2}Z?|"
+    + "|".join(f"[0-9a-fA-F]{{{n}}}" for n in DIGEST_LENGTHS)
+    + r")(?![A-Za-z0-9])"
+)
+_piece = re.compile(r"[A-Za-z0-9]{16,}")
+_letter = re.compile(r"[A-Za-z]")
 _part = re.compile(r"[0-9]*[A-Za-z]*[0-9]*")
-_camel = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
+_camel = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _encodings: dict[str, object] = {}
 
 Span = tuple[int, int, int]  # start, kind's place in KINDS, end
@@ -74,29 +81,40 @@ def base_spans(text: str) -> list[Span]:
     return sorted(out)
 
 
-def known_form(run: str) -> bool:
-    """Whether a run is a digest, a UUID or an identifier."""
-    if _digest.fullmatch(run) and len(run) in DIGEST_LENGTHS or _uuid.fullmatch(run):
-        return True
+def _tokens(run: str, enc) -> int:
+    # a long run is judged by parts, so that no call to the vocabulary grows with the text
+    return sum(len(enc.encode_ordinary(run[i : i + 4096])) for i in range(0, len(run), 4096))
+
+
+def looks_random(run: str, enc, ratio: float) -> bool:
+    """Whether a run with letters gives few characters a token, and so do its words if it is an identifier."""
+    if not _letter.search(run) or len(run) > ratio * _tokens(run, enc):
+        return False
     parts = [p for p in re.split(r"[+/_=-]+", run) if p]
-    if all(_part.fullmatch(p) for p in parts):
-        words = [w for p in parts for w in _camel.findall(p)]
-        return sum(map(len, words)) >= 4 * len(words)
-    return False
+    if not all(_part.fullmatch(p) for p in parts):
+        return True
+    words = [w for p in parts for w in _camel.findall(p)]
+    return sum(map(len, words)) <= ratio * sum(_tokens(w, enc) for w in words)
 
 
 def random_spans(text: str, enc, base: list[Span], ratio: float = RATIO) -> list[Span]:
+    """Random runs, and random parts of other runs, that lie within no span of base."""
     out = []
+
+    def found(start: int, end: int) -> bool:
+        if any(s <= start and end <= e for s, _, e in base) or not looks_random(text[start:end], enc, ratio):
+            return False
+        out.append((start, 3, end))
+        return True
+
     for m in _run.finditer(text):
-        run = m[0]
-        if any(s <= m.start() and m.end() <= e for s, _, e in base):
-            continue
-        if not (any("0" <= c <= "9" for c in run) and any(c.isalpha() for c in run)) or known_form(run):
-            continue
-        # a long run is judged by parts, so that no call to the vocabulary grows with the text
-        tokens = sum(len(enc.encode_ordinary(run[i : i + 4096])) for i in range(0, len(run), 4096))
-        if len(run) <= ratio * tokens:
-            out.append((m.start(), 3, m.end()))
+        edges = [m.start(), *(x for k in _known.finditer(text, m.start(), m.end()) for x in k.span()), m.end()]
+        for low, high in zip(edges[::2], edges[1::2], strict=True):
+            whole = _stretch.search(text, low, high)
+            if whole and whole.end() - whole.start() >= 16 and not found(*whole.span()):
+                for part in _piece.finditer(text, *whole.span()):
+                    if part.span() != whole.span():
+                        found(*part.span())
     return out
 
 
