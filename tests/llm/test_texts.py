@@ -98,6 +98,12 @@ def test_redaction(spark):
     assert secret_scan.redacted(empty(spark)).count() == 0
 
 
+def test_hexadecimal_keys_are_redacted(spark):
+    stay = ["d41d8cd98f00b204e9800998ecf8427e", "550e8400-e29b-41d4-a716-446655440000", "1234567890123456789012", "sha1-da39a3ee5e6b4b0d3255bfef95601890afd80709", "2024-01-15T10-30-00"]
+    docs = table(spark, ["a 3f9a0c7be1d24a5588c1 z", "a 3F9A0C7BE1D24A5588C1 z", "a 9c1e0b7fa3d85264 z", *stay])
+    assert [r.text for r in secret_scan.redacted(docs).orderBy("doc_id").collect()] == ["a [secret] z"] * 3 + stay
+
+
 def test_random_strings_of_any_form(spark):
     draw = random.Random(8)
     letters = ["".join(draw.choice(string.ascii_letters) for _ in range(n)) for n in (16, 17, 19, 20, 24, 40)]

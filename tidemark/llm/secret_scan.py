@@ -164,7 +164,7 @@ def without(text: str, spans: list[Span], mark: str) -> str:
 def redacted(docs: DataFrame, vocab: str | None = None, ratio: float = RATIO, mark: str = "[secret]") -> DataFrame:
     """docs with assigned, access and random secrets replaced in text, and n_chars to match.
 
-    Bare hexadecimal runs stay, since they are digests and numbers more often than secrets. All
+    Hexadecimal runs are judged by their tokens like others, so digests and numbers stay. All
     rows and columns stay; null texts stay null; rows without secrets are unchanged.
     """
     path = vocab or vocabulary()
@@ -176,8 +176,8 @@ def redacted(docs: DataFrame, vocab: str | None = None, ratio: float = RATIO, ma
         def one(text: str | None) -> str | None:
             if not text:
                 return text
-            base = base_spans(text)
-            spans = [s for s in base + random_spans(text, enc, base, ratio) if s[1] != 2]
+            base = [s for s in base_spans(text) if s[1] != 2]
+            spans = base + random_spans(text, enc, base, ratio)
             return without(text, spans, mark) if spans else text
 
         return texts.map(one, na_action="ignore")
