@@ -6,6 +6,7 @@ import re
 import string
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from .support import ODD, empty, labels, odd, prose, table
 
@@ -143,6 +144,50 @@ def test_license_rules(text, label):
     assert len(licenses.rules()) > 200
 
 
+@pytest.mark.parametrize(
+    ("text", "label"),
+    [
+        ("Released under MIT.", "mit"), ("distributed under the terms of the MIT", "mit"), ("available under the X11", "mit"), ("two MIT licenses", "mit"), ("GPLv3", "gpl-3"), ("GPLv2+", "gpl-2"), ("licensed under LGPLv2.1", "lgpl-2.1"), ("AGPL3", "agpl-3"), ("Apache2.0", "apache-2"),
+    ],
+)
+def test_license_words_that_pass_the_prefilter(text, label):
+    batch = pa.RecordBatch.from_arrays([pa.array([1], pa.int64()), pa.array([text])], names=["doc_id", "text"])
+    (out,) = licenses._scan(iter([batch]))
+    assert out.column("labels").to_pylist() == [label] and out.column("score").to_pylist()[0] > 0
+
+
+def sample(tree, draw):
+    """A string that a parsed regex without classes of many characters matches."""
+    out = ""
+    for op, arg in tree:
+        match str(op):
+            case "LITERAL":
+                out += chr(arg)
+            case "IN":
+                kind, value = draw.choice(arg)
+                out += chr(value) if str(kind) == "LITERAL" else "x"
+            case "BRANCH":
+                out += sample(draw.choice(arg[1]), draw)
+            case "SUBPATTERN":
+                out += sample(arg[3], draw)
+            case "MAX_REPEAT":
+                out += "".join(sample(arg[2], draw) for _ in range(draw.randint(arg[0], min(arg[1], arg[0] + 1))))
+            case "ASSERT_NOT":
+                pass
+            case _:
+                raise AssertionError(op)
+    return out
+
+
+def test_every_match_of_a_license_rule_holds_a_keyword():
+    draw = random.Random(3)
+    assert len({(r.label, r.regex.pattern) for r in licenses.rules()}) == len(licenses.rules()) == 412
+    for r in licenses.rules():
+        for _ in range(60):
+            text = sample(re._parser.parse(r.regex.pattern), draw)
+            assert r.regex.fullmatch(text) and r.keywords & set(text.split()), (r.regex.pattern, text)
+
+
 def words(text):
     return re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", (text or "").translate(LOWER))
 

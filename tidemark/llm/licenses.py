@@ -2,7 +2,7 @@
 
 Texts are matched as lower-cased words (digits, letters and anything beyond ASCII) joined by single
 spaces. Rules are regexes written as templates over a table of license families; a rule runs only
-on texts that hold its keyword. Detections are taken by priority, then length, and one that lies
+on texts that hold one of its keywords, one of which every match holds as a word. Detections are taken by priority, then length, and one that lies
 within an accepted interval is suppressed. The base phrases are always kept.
 """
 
@@ -45,7 +45,7 @@ FAMILIES = (
     ("odbl", r"(?:odbl|open database licen[cs]e)", ("odbl", "database"), ("1",)),
     ("lppl", r"(?:lppl|latex project public licen[cs]e)", ("lppl", "latex"), ("1", "1 1", "1 2", "1 3")),
     ("ms-pl", r"(?:ms pl|microsoft public licen[cs]e)", ("pl", "microsoft"), ("",)),
-    ("mit", r"(?:mit|expat|x11)", ("license", "licence", "licensed"), ("",)),
+    ("mit", r"(?:mit|expat|x11)", ("mit", "expat", "x11"), ("",)),
     ("isc", r"isc", ("isc",), ("",)),
     ("zlib", r"zlib(?: libpng)?", ("zlib",), ("",)),
     ("wtfpl", r"(?:wtfpl|do what the fuck you want to public licen[cs]e)", ("wtfpl", "fuck"), ("", "2")),
@@ -69,7 +69,6 @@ TEMPLATES = (
 VERSIONED = (1, 0.6, r"{name}{v}")
 #: Rules that fit no template, as label, keyword, priority, confidence, regex.
 OTHERS = (
-    ("mit", "merchantability", 3, 0.9, r"permission is hereby granted free of charge to any person obtaining a copy"),
     ("mit", "hereby", 3, 0.9, r"permission is hereby granted free of charge to any person obtaining a copy"),
     ("bsd", "redistribution", 3, 0.9, r"redistribution and use in source and binary forms with or without modification are permitted"),
     ("isc", "fee", 3, 0.9, r"permission to use copy modify and or distribute this software for any purpose with or without fee"),
@@ -86,7 +85,7 @@ OTHERS = (
 @dataclass(frozen=True)
 class Rule:
     label: str
-    keyword: str
+    keywords: frozenset[str]
     priority: int
     confidence: float
     regex: re.Pattern
@@ -95,7 +94,12 @@ class Rule:
 def _version(v: str) -> str:
     if not v:
         return ""
-    return rf"(?: version| v)? v?{v}(?: 0)?(?![0-9]| [0-9])"
+    return rf"(?:(?: version| v)? v?|v?){v}(?: 0)?(?![0-9]| [0-9])"
+
+
+def _with_version(keywords: tuple[str, ...], v: str) -> tuple[str, ...]:
+    """Keywords, and those with the version in one word, such as gplv3 and gpl3."""
+    return keywords + tuple(f"{k}{sign}{v.split()[0]}" for k in keywords for sign in ("", "v") if v)
 
 
 @cache
@@ -105,17 +109,16 @@ def rules() -> tuple[Rule, ...]:
 
     def add(label: str, keywords: tuple[str, ...], priority: int, confidence: float, pattern: str) -> None:
         made = re.compile(rf"(?<![^ ])(?:{pattern})(?![^ ])")
-        for k in keywords:
-            out.setdefault((label, k, pattern), Rule(label, k, priority, confidence, made))
+        out.setdefault((label, pattern), Rule(label, frozenset(keywords), priority, confidence, made))
 
     for label, name, keywords, versions in FAMILIES:
         for v in sorted(set(versions) | {""}, reverse=True):
             full = f"{label}-{v.replace(' ', '.')}" if v else label
             bonus = 0.5 if v else 0  # a version says more than none
             for priority, confidence, template in TEMPLATES:
-                add(full, keywords, priority + bonus, confidence, template.format(name=name, v=_version(v)))
+                add(full, _with_version(keywords, v), priority + bonus, confidence, template.format(name=name, v=_version(v)))
             if v:
-                add(full, keywords, VERSIONED[0] + bonus, VERSIONED[1], VERSIONED[2].format(name=name, v=_version(v)))
+                add(full, _with_version(keywords, v), VERSIONED[0] + bonus, VERSIONED[1], VERSIONED[2].format(name=name, v=_version(v)))
     for parts in CC_PARTS:
         long = " ".join(CC_NAMES[p] for p in parts.split())
         for v in CC_VERSIONS:
@@ -143,7 +146,7 @@ def base_places(text: str) -> list[tuple[int, int, str]]:
 
 def detect(text: str, words: set[str]) -> list[tuple[int, int, str, float]]:
     """(start, end, label, confidence) in code points of what no better detection contains."""
-    found = [(-r.priority, m.start() - m.end(), m.start(), m.end(), r.label, r.confidence) for r in rules() if r.keyword in words for m in r.regex.finditer(text)]
+    found = [(-r.priority, m.start() - m.end(), m.start(), m.end(), r.label, r.confidence) for r in rules() if not r.keywords.isdisjoint(words) for m in r.regex.finditer(text)]
     kept: list[tuple[int, int, str, float]] = []
     starts, ends = [], []  # accepted intervals that none contains: both ascend
     for _, _, s, e, label, confidence in sorted(found):
@@ -158,7 +161,7 @@ def detect(text: str, words: set[str]) -> list[tuple[int, int, str, float]]:
 
 def _keyword_filter() -> Callable[[Block], np.ndarray]:
     """Which texts of a block may hold a rule's or base phrase's keyword, by word hashes."""
-    keywords = sorted({r.keyword for r in rules()} | {"license", "cc"})
+    keywords = sorted({k for r in rules() for k in r.keywords} | {"license", "cc"})
     probe = next(blocks(pa.array([" ".join(keywords)]), lower=True, word_bytes=ALNUM))[1].hashes()
     known = np.sort(probe)
     bitmap = np.zeros(1 << 20, dtype=bool)
