@@ -47,9 +47,10 @@ def edited(words, edits, seed):
     return " ".join(out)
 
 
-@pytest.mark.parametrize("few", [(16, 256, 1 << 62), (3, 4, 1 << 62)])
+@pytest.mark.parametrize("few", [(16, 64), (3, 2)])
 def test_components(spark, monkeypatch, few):
-    monkeypatch.setattr(near_dups, "FEW", few)
+    monkeypatch.setattr(near_dups, "FEW", few[0])
+    monkeypatch.setattr(near_dups, "FEW_ELEMENTS", few[1])
     long = [f"w{i}" for i in range(90)]
     other = [f"v{i}" for i in range(60)]
     texts = [edited(long, s % 5, s) for s in range(45)] + [" ".join(long), " ".join(long), " ".join(long).upper(), " ".join(long[:80]), " ".join(long[7:])]
@@ -62,6 +63,34 @@ def test_components(spark, monkeypatch, few):
     assert all(r.n_shingles == sizes[r.doc_id] and r.kept == (want[r.doc_id] == r.doc_id) for r in rows)
 
 
+def test_components_of_a_large_group_of_near_copies(spark):
+    # 700 versions of two texts that share most of their words, some of them a link away from their text, some two
+    base = [f"w{i}" for i in range(120)]
+    other = base[:60] + [f"v{i}" for i in range(60)]
+    texts = [edited(base if s % 3 else other, s % 6, s) for s in range(500)]
+    texts += [edited(texts[s].split(), 1 + s % 3, 9000 + s) for s in range(200)]
+    want, _ = components(dict(enumerate(texts, 1)), 85)
+    got = {r.doc_id: r.component_id for r in near_dups.near_duplicates(table(spark, texts), 85).collect()}
+    assert got == want
+
+
+def test_deduplication_judges_rows_and_not_ids(spark):
+    docs = table(spark, ["unused"]).limit(0)
+    same, other = prose(1, 60), prose(2, 60)
+    docs = docs.unionByName(table(spark, [same], 3)).unionByName(table(spark, [same], 5)).unionByName(table(spark, [other], 5))
+    docs = docs.unionByName(table(spark, [""], 5)).unionByName(table(spark, [""], 6)).unionByName(table(spark, [other], 5))
+    assert sorted((r.doc_id, r.text) for r in near_dups.deduplicated(docs).collect()) == sorted([(3, same), (5, other), (5, ""), (6, "")])
+
+
+def test_dropped_keys_beyond_the_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(near_dups, "MOST_BROADCAST", 0)
+    monkeypatch.setattr(near_dups, "MOST_LEADER_BYTES", 0)
+    monkeypatch.setattr(near_dups, "FEW", 3)
+    texts = [edited([f"w{i}" for i in range(90)], s % 3, s) for s in range(20)] + ["one", prose(9, 50)]
+    want, _ = components(dict(enumerate(texts, 1)), 80)
+    assert sorted(r.doc_id for r in near_dups.deduplicated(table(spark, texts)).collect()) == sorted(set(want.values()))
+
+
 def test_near_duplicates_of_odd_rows(spark):
     docs = odd(spark)
     rows = near_dups.near_duplicates(docs).collect()

@@ -6,17 +6,24 @@ nothing however many there are. Classes that share a band key are candidates:
 - In a bucket of few classes all pairs are. Pairs whose signatures, compared batch by batch, leave
   less than MISS posterior probability of reaching the threshold go; the rest is verified on full
   sets.
-- In a larger bucket each class is paired with one leader, the class that shares the most buckets.
-  What differs between a class and its leader, D, then gives the pairs that are left. Two classes
-  x and y link if the symmetric difference of D(x) and D(y) has at most
-  a * (|x| + |y|) elements, a = (1 - t) / (1 + t). If at least one of them isn't linked with the
-  leader L, D(x) and D(y) must overlap, by at least
+- Larger buckets that share classes form one set, and each class of it is paired with one leader,
+  the class in the most of these buckets. What differs between a class and its leader, D, then
+  gives the pairs that are left. Two classes x and y link if the symmetric difference of D(x) and
+  D(y) has at most a * (|x| + |y|) elements, a = (1 - t) / (1 + t). If at least one of them isn't
+  linked with the leader L, D(x) and D(y) must overlap, by at least
       (|D(x)| + a * (|L| - |x|)) / 2  for any x that meets an unlinked one, and
       (|D(y)| - a * (|y| + |L|)) / (1 + a)  for an unlinked y that meets a linked one
-  elements, and so, in one order of all elements (those that L lacks first), their prefixes share
-  an element, with enough elements from there on in both. Elements of prefixes are the keys of the
-  next level's buckets, in which classes of one component aren't paired again. By the triangle inequality of the Jaccard distance an unlinked y beyond twice the
-  threshold's distance meets no linked one. The last level pairs all that is left.
+  elements, and any two by at least |D(x)| - |x| * (1 - t) / t, as their sizes can't differ more. So,
+  in one order of all elements, their prefixes share an element, with enough elements from there on
+  in both. The order puts first what is rare in the differences of a sample of the leader's classes:
+  a sample changes how many prefixes meet, not which links are found. By the triangle inequality of
+  the Jaccard distance an unlinked y beyond twice the threshold's distance meets no linked one.
+
+Elements of prefixes are the keys of the next level's buckets, which are treated in the same way:
+pairs within small ones, a leader for the larger ones. Classes of one component aren't paired again,
+so a bucket counts as small if few of its classes are outside its largest component. A class has one
+leader a level, so a level writes a few elements a class. Elements that classes share are the new
+leader's too and so leave their D; what is small doubles at each level besides, so levels end soon.
 """
 
 from __future__ import annotations
@@ -29,16 +36,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.store import dropped, saved, scratch
-from tidemark.llm.words import Block, blocks, mixed, shingles
+from tidemark.llm.words import Block, blocks, mixed, released, shingles
 
 BANDS, BAND_ROWS = 25, 5
 BATCH = 25
 MISS = 1e-6
-#: Classes in a bucket up to which all pairs are taken, by level.
-FEW = (16, 4096, 1 << 62)
+#: Classes of a bucket outside its largest component up to which all pairs are taken: of band keys,
+#: and of elements (twice as many at each further level).
+FEW, FEW_ELEMENTS = 15, 64
 SIZE = BANDS * BAND_ROWS
-#: Ids of dropped rows up to which they are broadcast: about 64 MB.
+#: Keys of dropped rows up to which they are broadcast (about 64 MB), and bytes of leaders' sets.
 MOST_BROADCAST = 2_000_000
+MOST_LEADER_BYTES = 32 << 20
+#: Classes of a leader, about, whose differences put elements in order.
+SAMPLE = 64
+#: Pairs that a worker turns into Python objects at once.
+SLICE = 512
 
 
 def _random(seed: int, n: int) -> np.ndarray:
@@ -104,7 +117,7 @@ def least_matches(threshold: float, miss: float, batch: int = BATCH, size: int =
 def _signer(k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low, block in blocks(batch.column(1), lower=True):
+            for low, block in blocks(batch.column(2), lower=True):
                 sets, starts = shingle_sets(block, k)
                 signature = signatures(sets, starts)
                 keys = band_keys(signature)
@@ -112,14 +125,15 @@ def _signer(k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBa
                 full = n > 0
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).slice(low, len(block)),
+                        *[batch.column(c).slice(low, len(block)) for c in (0, 1)],
                         pa.array(n, pa.int64()),
                         pa.array(_class_keys(sets, starts), pa.binary()),
                         pa.array([s.tobytes() if f else None for s, f in zip(signature, full, strict=True)], pa.binary()),
                         pa.array([x if f else None for x, f in zip(keys, full, strict=True)], pa.list_(pa.int64())),
                     ],
-                    names=["doc_id", "n_shingles", "cls", "sig", "keys"],
+                    names=["doc_id", "text_hash", "n_shingles", "cls", "sig", "keys"],
                 )
+        released()
 
     return sign
 
@@ -133,34 +147,70 @@ def _setter(k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBa
                 keys = _class_keys(sets, starts)
                 rows = [(keys[i], sets[starts[i] : starts[i + 1]].tobytes()) for i in range(len(block)) if keys[i] is not None and keys[i] == wanted[low + i]]
                 yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], pa.binary()) for j in (0, 1)], names=["cls", "shingles"])
+        released()
 
     return found
 
 
+def _rows_of(column: pa.Array, dtype: type) -> tuple[np.ndarray, np.ndarray]:
+    """A binary column's values as one array of dtype, without a copy, and where each row's begin."""
+    size = np.dtype(dtype).itemsize
+    _, offsets, data = column.buffers()
+    starts = np.frombuffer(offsets, dtype=np.int32)[column.offset : column.offset + len(column) + 1] // size if len(column) else np.zeros(1, dtype=np.int32)
+    return np.frombuffer(data, dtype=dtype, count=data.size // size) if data is not None else np.zeros(0, dtype=dtype), starts
+
+
 def _pruner(threshold: float, miss: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     least = least_matches(threshold, miss)
 
     def prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint32).reshape(-1, SIZE) for c in (2, 3))
+            x, y = (_rows_of(batch.column(c), np.uint32) for c in (2, 3))
+            a, b = (v[s[0] : s[-1]].reshape(-1, SIZE) for v, s in (x, y))
             left = np.arange(len(a))
             matched = np.zeros(len(a), dtype=np.int64)
             for j, m in enumerate(least):  # each batch is compared only for the pairs still open
                 part = slice(j * BATCH, (j + 1) * BATCH)
-                matched[left] += (a[left, part] == b[left, part]).sum(axis=1)
+                for low in range(0, len(left), 4096):
+                    rows = left[low : low + 4096]
+                    matched[rows] += (a[rows, part] == b[rows, part]).sum(axis=1)
                 left = left[matched[left] >= m]
             kept = pa.array(left)
             yield pa.RecordBatch.from_arrays([batch.column(0).take(kept), batch.column(1).take(kept)], names=["a", "b"])
+        released()
 
     return prune
 
 
+def _counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From a leader, its set and sets of its classes: the elements in several differences, and in how many."""
+    for batch in batches:
+        for i in range(len(batch)):
+            own = np.frombuffer(batch.column(1)[i].as_py(), dtype=np.uint64)
+            parts = [np.setxor1d(own, np.frombuffer(x.as_py(), dtype=np.uint64), assume_unique=True) for x in batch.column(2)[i].values or ()]
+            values, counts = np.unique(np.concatenate([*parts, own[:0]]), return_counts=True)
+            several = counts > 1
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(c).slice(i, 1) for c in (0, 1)], pa.array([values[several].tobytes()], pa.binary()), pa.array([counts[several].astype(np.uint32).tobytes()], pa.binary())],
+                names=["cls", "shingles", "common", "counts"],
+            )
+    released()
+
+
+def _frequency(d: np.ndarray, common: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """How often each element was counted; 0 if once at most."""
+    if not len(common):
+        return np.zeros(len(d), dtype=np.uint32)
+    at = np.minimum(np.searchsorted(common, d), len(common) - 1)
+    return np.where(common[at] == d, counts[at], 0)
+
+
 def _linked(x: int, y: int, both: int, percent: int) -> bool:
     return 100 * both >= percent * (x + y - both)
 
 
 def _verifier(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """From a, b, led (b is a's leader) and both sets: linked, and for led pairs a's prefix of D.
+    """From a, b, led (b is a's leader), both sets and counts: linked, and for led pairs a's prefix of D.
 
     The first `short` elements of the prefix meet all others, the rest only those of linked classes;
     d is the size of D and n that of a.
@@ -168,31 +218,38 @@ def _verifier(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
     t = percent / 100
     alpha = (1 - t) / (1 + t)
 
+    def compared(x: np.ndarray, y: np.ndarray, led: bool, common: np.ndarray, counts: np.ndarray) -> tuple:
+        both = np.intersect1d(x, y, assume_unique=True)
+        n, m, k = len(x), len(y), len(both)
+        link = _linked(n, m, k, percent)
+        if not led:
+            return link, None, 0, 0, n
+        d = np.concatenate([np.setdiff1d(x, both, assume_unique=True), np.setdiff1d(y, both, assume_unique=True)])
+        d = d[np.lexsort((d, _frequency(d, common, counts)))].view(np.int64)
+
+        def prefix(overlap: float) -> int:
+            return len(d) - max(1, int(np.ceil(max(overlap, len(d) - n * (1 - t) / t) - 1e-6))) + 1
+
+        first = last = prefix((len(d) + alpha * (m - n)) / 2)
+        union = n + m - k
+        if not link and union - k <= 2 * (1 - t) * union + 1e-6:
+            last = prefix((len(d) - alpha * (n + m)) / (1 + alpha))
+        return link, d[: max(0, first, last)], first, len(d), n
+
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        types = (pa.bool_(), pa.list_(pa.int64()), pa.int64(), pa.int64(), pa.int64())
         for batch in batches:
-            a, b, led, sa, sb = (batch.column(i).to_pylist() for i in range(5))
-            linked, prefix, short, sizes, n_a = [], [], [], [], []
-            for i in range(len(a)):
-                x, y = np.frombuffer(sa[i], dtype=np.uint64), np.frombuffer(sb[i], dtype=np.uint64)
-                both = np.intersect1d(x, y, assume_unique=True)
-                n, m, k = len(x), len(y), len(both)
-                link = _linked(n, m, k, percent)
-                d, first, last = None, 0, 0
-                if led[i]:
-                    d = np.concatenate([np.setdiff1d(x, both, assume_unique=True), np.setdiff1d(y, both, assume_unique=True)]).view(np.int64)
-                    first = last = len(d) - max(1, int(np.ceil((len(d) + alpha * (m - n)) / 2 - 1e-6))) + 1
-                    union = n + m - k
-                    if not link and union - k <= 2 * (1 - t) * union + 1e-6:
-                        last = len(d) - max(1, int(np.ceil((len(d) - alpha * (n + m)) / (1 + alpha) - 1e-6))) + 1
-                linked.append(link)
-                prefix.append(None if d is None else d[: max(0, first, last)])
-                short.append(first)
-                sizes.append(0 if d is None else len(d))
-                n_a.append(n)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(linked, pa.bool_()), pa.array(prefix, pa.list_(pa.int64())), *[pa.array(c, pa.int64()) for c in (short, sizes, n_a)]],
-                names=["a", "b", "linked", "prefix", "short", "d", "n"],
-            )
+            led = batch.column(2).to_pylist()
+            (x, xs), (y, ys), (common, cs) = (_rows_of(batch.column(c), np.uint64) for c in (3, 4, 5))
+            counts, ns = _rows_of(batch.column(6), np.uint32)
+            for low in range(0, len(led), SLICE):
+                rows = range(low, min(low + SLICE, len(led)))
+                got = [compared(x[xs[i] : xs[i + 1]], y[ys[i] : ys[i + 1]], led[i], common[cs[i] : cs[i + 1]], counts[ns[i] : ns[i + 1]]) for i in rows]
+                yield pa.RecordBatch.from_arrays(
+                    [*[batch.column(c).slice(low, len(rows)) for c in (0, 1)], *[pa.array(c, t) for c, t in zip(zip(*got, strict=True), types, strict=True)]],
+                    names=["a", "b", "linked", "prefix", "short", "d", "n"],
+                )
+        released()
 
     return verify
 
@@ -220,99 +277,160 @@ def components(links: DataFrame, folder: str) -> DataFrame:
         labels = new.select("node", "comp")
 
 
-def _paired(buckets: DataFrame, comps: DataFrame | None, few: int, percent: int, folder: str) -> tuple[DataFrame, DataFrame]:
-    """Pairs (a, b) of small buckets, and pairs (a, its leader b) of large ones.
+def _paired(buckets: DataFrame, comps: DataFrame | None, few: int, percent: int, folder: str) -> tuple[DataFrame, DataFrame | None]:
+    """Pairs (a, b) of small buckets, and pairs (a, its leader b) of large ones, None without any.
 
-    buckets: key and cls, and for keys that are elements also role (1 for those that only meet a
-    linked class's), linked, place of the element in D, d and n. Band keys promise nothing.
+    A bucket is small if at most `few` of its classes are outside the component that has the most
+    of them: pairs within a component are settled, so a small bucket of n classes gives few * n
+    pairs at most. buckets: key and cls, and for keys that are elements also role (1 for those that
+    only meet a linked class's), linked, place of the element in D, d and n. Band keys promise
+    nothing. Sizes are written before they are joined, so that a hot key's rows can be split
+    between tasks.
     """
     if comps is None:
-        sizes = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-        rows = saved(buckets.join(sizes, "key"), folder, "rows")
-        rows = rows.withColumns({"comp": F.col("cls"), "role": F.lit(0), "linked": F.lit(False), **{c: F.lit(0).cast("long") for c in ("place", "d", "n")}})
+        sizes = buckets.groupBy("key").agg((F.count(F.lit(1)) - 1).alias("outside"), F.max("cls").alias("main"))
+        buckets = buckets.withColumns({"comp": F.col("cls"), "role": F.lit(0), "linked": F.lit(False), **{c: F.lit(0).cast("long") for c in ("place", "d", "n")}})
     else:
-        buckets = buckets.join(comps.withColumnsRenamed({"node": "cls"}), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
-        # a bucket within one component has nothing left to link
-        sizes = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("size > 1 AND c0 <> c1").select("key", "size")
-        rows = saved(buckets.join(sizes, "key"), folder, "rows")
-    small = rows.where(F.col("size") <= few).drop("size")
+        buckets = saved(buckets.join(comps.withColumnsRenamed({"node": "cls"}), "cls", "left").withColumn("comp", F.coalesce("comp", "cls")), folder, "buckets")
+        parts = buckets.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
+        sizes = parts.groupBy("key").agg((F.sum("n") - F.max("n")).alias("outside"), F.max(F.struct("n", "comp"))["comp"].alias("main"))
+    sizes = saved(sizes.where("outside > 0"), folder, "sizes")
+    rows = saved(buckets.join(sizes, "key"), folder, "rows")
+    small = rows.where(F.col("outside") <= few)
     other = small.select("key", *[F.col(c).alias(f"_{c}") for c in ("cls", "role", "linked", "comp", "place", "d", "n")])
+    once = (F.col("_comp") == F.col("main")) | (F.col("cls") < F.col("_cls"))
     meet = (F.col("role") + F.col("_role") == 0) | ((F.col("role") + F.col("_role") == 1) & (F.col("linked") != F.col("_linked")))
     # what D(x) and D(y) can still share from this element on must be enough
     common = F.least(F.col("d") - F.col("place"), F.col("_d") - F.col("_place"))
     enough = (100 + percent) * (F.col("d") + F.col("_d") - 2 * common) <= (100 - percent) * (F.col("n") + F.col("_n"))
-    pairs = small.join(other, "key").where((F.col("cls") < F.col("_cls")) & (F.col("comp") != F.col("_comp")) & meet & enough).select(F.col("cls").alias("a"), F.col("_cls").alias("b")).distinct()
-    large = rows.where(F.col("size") > few)
-    fame = large.groupBy("cls").agg(F.sum("size").alias("fame"))
-    leaders = large.join(fame, "cls").groupBy("key").agg(F.max(F.struct("fame", "cls")).alias("top")).select("key", F.col("top.cls").alias("b"))
-    led = large.select("key", F.col("cls").alias("a")).join(leaders, "key").where("a <> b").select("a", "b").distinct()
-    return saved(pairs, folder, "pairs"), saved(led, folder, "led")
-
-
-def near_duplicates(docs: DataFrame, percent: int = 80, k: int = 5, miss: float = MISS) -> DataFrame:
-    """Link documents with Jaccard similarity of k-word shingles of at least percent / 100.
-
-    Returns one row per document row: doc_id, n_shingles, component_id (the smallest doc_id
-    reachable by links), kept (doc_id is component_id). Letters A-Z are lowered and words are runs
-    of anything but ASCII white space. A text of fewer than k words has its whole sequence as its
-    shingle; null, empty and blank texts have none and stand alone. Rows with a null doc_id are
-    linked with nothing and kept, with a null component_id. Repeated rows share a component. Extra
-    columns are ignored; an empty table gives no rows. Only row counts reach the driver.
+    pairs = small.where(F.col("comp") != F.col("main")).join(other, "key").where((F.col("comp") != F.col("_comp")) & once & meet & enough)
+    pairs = saved(pairs.select(F.least("cls", "_cls").alias("a"), F.greatest("cls", "_cls").alias("b")).distinct(), folder, "pairs")
+    large = rows.where(F.col("outside") > few).select("key", "cls", "outside")
+    if not large.limit(1).count():
+        return pairs, None
+    lowest = saved(large.groupBy("key").agg(F.min("cls").alias("b")), folder, "lowest")
+    together = components(large.join(lowest, "key").where("cls <> b").select(F.col("cls").alias("a"), "b"), f"{folder}/sets")
+    fame = saved(large.groupBy("cls").agg(F.sum("outside").alias("fame")), folder, "fame")
+    famous = saved(fame.join(together, fame["cls"] == together["node"]).select("cls", "comp", "fame"), folder, "famous")
+    leaders = saved(famous.groupBy("comp").agg(F.max(F.struct("fame", "cls")).alias("top")).select("comp", F.col("top.cls").alias("b")), folder, "leaders")
+    return pairs, saved(famous.join(leaders, "comp").where("cls <> b").select(F.col("cls").alias("a"), "b"), folder, "led")
+
+
+def _leader_sets(led: DataFrame, sets: DataFrame, folder: str) -> DataFrame:
+    """cls, shingles of every leader, and the elements that its classes' differences often hold."""
+    sizes = saved(led.groupBy("b").agg(F.count(F.lit(1)).alias("n")), folder, "led-sizes")
+    some = led.join(sizes, "b").where(F.pmod(F.xxhash64("a"), F.ceil(F.col("n") / SAMPLE)) == 0).select("a", "b")
+    parts = some.join(sets.withColumnsRenamed({"cls": "a", "shingles": "part"}), "a").groupBy("b").agg(F.collect_list("part").alias("parts"))
+    own = sets.join(sizes.select(F.col("b").alias("cls")), "cls")
+    every = own.join(parts.withColumnRenamed("b", "cls"), "cls", "left").select("cls", "shingles", F.coalesce("parts", F.array().cast("array<binary>")).alias("parts"))
+    return saved(every.mapInArrow(_counter, "cls binary, shingles binary, common binary, counts binary"), folder, "leader-sets")
+
+
+def _with_sets(pairs: DataFrame, sets: DataFrame, of_b: DataFrame, led: bool) -> DataFrame:
+    """a, b, led, both sets (x of a, y of b), and counts of elements if b is a leader."""
+    own = pairs.join(sets.withColumnsRenamed({"cls": "a", "shingles": "x"}), "a")
+    both = own.join(of_b.withColumnsRenamed({"cls": "b", "shingles": "y"}), "b")
+    return both.select("a", "b", F.lit(led).alias("led"), "x", "y", *[F.col(c) if led else F.lit(None).cast("binary").alias(c) for c in ("common", "counts")])
+
+
+def _classed(docs: DataFrame, percent: int, k: int, miss: float, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, text_hash, n_shingles, cls), and classes (cls, doc_id, comp) with comp null if alone.
+
+    A class's doc_id is its smallest; comp is a class of its component, the same for all of it.
     """
     spark = docs.sparkSession
-    folder = scratch(spark, "near")
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    signed = slim.mapInArrow(_signer(k), "doc_id long, n_shingles long, cls binary, sig binary, keys array<long>")
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), "text")
+    signed = slim.mapInArrow(_signer(k), "doc_id long, text_hash long, n_shingles long, cls binary, sig binary, keys array<long>")
     signed = saved(signed, folder, "signed")
     usable = signed.where(F.col("cls").isNotNull() & F.col("doc_id").isNotNull())
-    classes = saved(usable.groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.first("sig").alias("sig"), F.first("keys").alias("keys")), folder, "classes")
-    signed = saved(signed.select("doc_id", "n_shingles", "cls"), folder, "rows")
+    least = F.min(F.struct("doc_id", "text_hash")).alias("least")
+    classes = saved(usable.groupBy("cls").agg(least, F.first("sig").alias("sig"), F.first("keys").alias("keys")).select("cls", "least.*", "sig", "keys"), folder, "classes")
+    signed = saved(signed.select("doc_id", "text_hash", "n_shingles", "cls"), folder, "rows")
     dropped(spark, f"{folder}/signed")  # signatures are needed by class only
     buckets = classes.select("cls", F.explode("keys").alias("key"))
     links: DataFrame | None = None
     comps: DataFrame | None = None
     sets: DataFrame | None = None
-    for level, few in enumerate(FEW):
+    level = 0
+    while True:
         here = f"{folder}/level-{level}"
-        pairs, led = _paired(buckets, comps, few, percent, here)
+        pairs, led = _paired(buckets, comps, FEW if level == 0 else FEW_ELEMENTS << level - 1, percent, here)
         if sets is None:
-            named = pairs.select(F.explode(F.array("a", "b")).alias("cls")).unionByName(led.select(F.explode(F.array("a", "b")).alias("cls"))).distinct()
-            wanted = classes.select("cls", F.col("doc_id").alias("_id")).join(named, "cls")
-            texts = slim.join(wanted, slim["doc_id"] == wanted["_id"]).select("cls", "text").mapInArrow(_setter(k), "cls binary, shingles binary")
+            named = pairs.select(F.explode(F.array("a", "b")).alias("cls"))
+            if led is not None:
+                named = named.unionByName(led.select(F.explode(F.array("a", "b")).alias("cls")))
+            wanted = saved(classes.select("cls", F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).join(named.distinct(), "cls"), folder, "wanted")
+            texts = slim.join(wanted, (F.col("doc_id") == F.col("_id")) & (F.col("text_hash") == F.col("_hash"))).select("cls", "text").mapInArrow(_setter(k), "cls binary, shingles binary")
             sets = saved(texts.groupBy("cls").agg(F.first("shingles").alias("shingles")), folder, "sets")
         sig = classes.select("cls", "sig")
         near = pairs.join(sig.withColumnsRenamed({"cls": "a", "sig": "x"}), "a").join(sig.withColumnsRenamed({"cls": "b", "sig": "y"}), "b").select("a", "b", "x", "y")
-        open_pairs = near.mapInArrow(_pruner(percent / 100, miss), "a binary, b binary").withColumn("led", F.lit(False)).unionByName(led.withColumn("led", F.lit(True)))
-        full = open_pairs.join(sets.withColumnsRenamed({"cls": "a", "shingles": "x"}), "a").join(sets.withColumnsRenamed({"cls": "b", "shingles": "y"}), "b").select("a", "b", "led", "x", "y")
+        full = _with_sets(near.mapInArrow(_pruner(percent / 100, miss), "a binary, b binary"), sets, sets, False)
+        if led is not None:
+            of_leaders = _leader_sets(led, sets, here)
+            size = of_leaders.agg(F.sum(F.octet_length("shingles") + F.octet_length("common") + F.octet_length("counts"))).first()[0] or 0
+            full = full.unionByName(_with_sets(led, sets, F.broadcast(of_leaders) if size <= MOST_LEADER_BYTES else of_leaders, True))
         seen = saved(full.mapInArrow(_verifier(percent), "a binary, b binary, linked boolean, prefix array<long>, short long, d long, n long"), here, "seen")
         new = seen.where("linked").select("a", "b")
         links = saved(new if links is None else links.unionByName(new).distinct(), here, "links")
         comps = components(links, f"{here}/comps")
-        differ = seen.where(F.col("prefix").isNotNull())
-        if not differ.limit(1).count():
+        if led is None:
             break
-        elements = differ.select(F.col("a").alias("cls"), "b", F.posexplode("prefix").alias("place", "e"), "short", "linked", "d", "n")
+        elements = seen.where(F.size("prefix") > 0).select(F.col("a").alias("cls"), "b", F.posexplode("prefix").alias("place", "e"), "short", "linked", "d", "n")
         buckets = elements.select("cls", F.xxhash64("b", "e").alias("key"), (F.col("place") >= F.col("short")).cast("int").alias("role"), "linked", F.col("place").cast("long").alias("place"), "d", "n")
-    of_class = saved(classes.select("cls", "doc_id").join(comps.withColumnsRenamed({"node": "cls"}), "cls", "left").select("cls", "doc_id", F.coalesce("comp", "cls").alias("comp")), folder, "classed")
-    lowest = of_class.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
-    named = of_class.join(lowest, "comp").select("cls", "component_id")
+        level += 1
+    return signed, saved(classes.select("cls", "doc_id", "text_hash").join(comps.withColumnsRenamed({"node": "cls"}), "cls", "left").withColumn("comp", F.coalesce("comp", "cls")), folder, "classed")
+
+
+def near_duplicates(docs: DataFrame, percent: int = 80, k: int = 5, miss: float = MISS) -> DataFrame:
+    """Link documents with Jaccard similarity of k-word shingles of at least percent / 100.
+
+    Returns one row per document row: doc_id, n_shingles, component_id (the smallest doc_id
+    reachable by links), kept (doc_id is component_id). Letters A-Z are lowered and words are runs
+    of anything but ASCII white space. A text of fewer than k words has its whole sequence as its
+    shingle; null, empty and blank texts have none and stand alone. Rows with a null doc_id are
+    linked with nothing and kept, with a null component_id. Repeated rows share a component; texts
+    of one doc_id that differ are linked by their texts alone. Extra columns are ignored; an empty
+    table gives no rows. Only row counts reach the driver.
+    """
+    folder = scratch(docs.sparkSession, "near")
+    signed, of_class = _classed(docs, percent, k, miss, folder)
+    lowest = saved(of_class.groupBy("comp").agg(F.min("doc_id").alias("component_id")), folder, "lowest")
+    named = saved(of_class.select("cls", "comp").join(lowest, "comp").select("cls", "component_id"), folder, "named")
     out = signed.select("doc_id", "n_shingles", "cls").join(named, "cls", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
 def deduplicated(docs: DataFrame, percent: int = 80, k: int = 5) -> DataFrame:
-    """docs with one row of each component left, the one of the smallest doc_id; all columns stay.
+    """docs with one row of each component left, that of the smallest doc_id; all columns stay.
 
-    Rows without words or without a doc_id all stay. Of repeated rows of one doc_id one stays.
+    A row is judged by doc_id and text, so of one doc_id with several texts only those go whose
+    component keeps another row (of one doc_id, the text with the smallest hash stays). Rows
+    without words or without a doc_id all stay, but of rows repeated with one doc_id and text one
+    stays.
     """
-    folder = scratch(docs.sparkSession, "deduplicated")
-    judged = saved(near_duplicates(docs, percent, k).select("doc_id", "kept"), folder, "judged")
-    gone = saved(judged.where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct(), folder, "gone")
-    # ids alone, up to a checked number, spare a shuffle of all texts
-    side = F.broadcast(gone) if gone.count() <= MOST_BROADCAST else gone.hint("merge")
-    out = docs.join(side, docs["doc_id"] == side["_gone"], "left_anti")
-    again = judged.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    if again.limit(1).count():
-        out = out.where(F.col("doc_id").isNull()).unionByName(out.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"]))
-    return out
+    spark = docs.sparkSession
+    folder = scratch(spark, "deduplicated")
+    signed, of_class = _classed(docs, percent, k, MISS, folder)
+    first = saved(of_class.groupBy("comp").agg(F.min(F.struct("doc_id", "text_hash")).alias("first")), folder, "first")
+    named = saved(of_class.select("cls", "comp").join(first, "comp").select("cls", "first"), folder, "named")
+    judged = signed.where("cls IS NOT NULL AND doc_id IS NOT NULL").join(named, "cls")
+    gone = judged.where((F.col("doc_id") != F.col("first.doc_id")) | (F.col("text_hash") != F.col("first.text_hash"))).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
+    gone = saved(gone.distinct(), folder, "gone")
+    again = saved(signed.where("doc_id IS NOT NULL").groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")), folder, "again")
+    out = _without(docs, gone)
+    if not again.limit(1).count():
+        return out
+    # only repeated rows are dealt out to find one of each
+    key = F.struct(F.col("doc_id").cast("long"), F.xxhash64(F.coalesce("text", F.lit(""))))
+    repeated = _without(out, again, "left_semi").withColumn("_key", key).dropDuplicates(["_key"]).drop("_key")
+    return _without(out, again).unionByName(repeated)
+
+
+def _without(docs: DataFrame, keys: DataFrame, how: str = "left_anti") -> DataFrame:
+    """docs without (or with only) the rows of the given _id and _hash.
+
+    Keys alone, up to a checked number, spare a shuffle of all texts.
+    """
+    side = F.broadcast(keys) if keys.count() <= MOST_BROADCAST else keys.hint("merge")
+    return docs.join(side, (docs["doc_id"].cast("long") == side["_id"]) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == side["_hash"]), how)

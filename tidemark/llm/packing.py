@@ -37,6 +37,7 @@ def _cutter(vocab: str, end_id: int, size: int, with_ids: bool) -> Callable[[Ite
                 columns.append(pa.array([p.view("<i4") for p in parts], pa.list_(pa.int32())))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(columns, names=names)
+        made.finished()
 
     return cut
 

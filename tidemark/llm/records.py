@@ -88,6 +88,7 @@ def _writer(folder: str, vocab: str, end_id: int) -> Callable[[Iterator[pa.Recor
                     index.write(struct.pack(LENGTH, at))
                     out.write(data)
                     at, records, tokens = at + len(data), records + 1, tokens + len(ids)
+        made.finished()
         if records:
             yield pa.RecordBatch.from_arrays(
                 [pa.array([name]), pa.array([records], pa.int64()), pa.array([tokens], pa.int64()), pa.array([at], pa.int64()), pa.array([first[0]], pa.int64()), pa.array([first[1]], pa.int64())],

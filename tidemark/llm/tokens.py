@@ -7,7 +7,7 @@ import os
 import numpy as np
 import pyarrow as pa
 
-from tidemark.llm.words import blocks
+from tidemark.llm.words import blocks, released
 
 END_ID = 1
 
@@ -28,7 +28,7 @@ class WordEncoder:
     is emptied at `most` words, which changes no result.
     """
 
-    def __init__(self, path: str, most: int = 1_000_000):
+    def __init__(self, path: str, most: int = 200_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -94,12 +94,17 @@ class WordEncoder:
             for i in range(len(block)):
                 yield low + i, ids[cuts[i] : cuts[i + 1]]
 
+    def finished(self) -> None:
+        """Forget the words at the end of a task, so that a waiting worker holds the vocabulary alone."""
+        self.forget()
+        released()
+
 
 _encoders: dict[str, WordEncoder] = {}
 
 
 def encoder(path: str) -> WordEncoder:
-    """This worker's encoder for the vocabulary; what it remembers serves later tasks too."""
+    """This worker's encoder for the vocabulary; the vocabulary stays loaded for later tasks."""
     if path not in _encoders:
         _encoders[path] = WordEncoder(path)
     return _encoders[path]
