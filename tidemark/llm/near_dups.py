@@ -131,7 +131,7 @@ def _signer(k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBa
                         pa.array([s.tobytes() if f else None for s, f in zip(signature, full, strict=True)], pa.binary()),
                         pa.array([x if f else None for x, f in zip(keys, full, strict=True)], pa.list_(pa.int64())),
                     ],
-                    names=["doc_id", "text_hash", "n_shingles", "cls", "sig", "keys"],
+                    names=["doc_id", "text_hash", "n_shingles", "digest", "sig", "keys"],
                 )
         released()
 
@@ -141,12 +141,12 @@ def _signer(k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBa
 def _setter(k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            wanted = batch.column(0).to_pylist()
-            for low, block in blocks(batch.column(1), lower=True):
+            wanted, numbers = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for low, block in blocks(batch.column(2), lower=True):
                 sets, starts = shingle_sets(block, k)
                 keys = _class_keys(sets, starts)
-                rows = [(keys[i], sets[starts[i] : starts[i + 1]].tobytes()) for i in range(len(block)) if keys[i] is not None and keys[i] == wanted[low + i]]
-                yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], pa.binary()) for j in (0, 1)], names=["cls", "shingles"])
+                rows = [(numbers[low + i], sets[starts[i] : starts[i + 1]].tobytes()) for i in range(len(block)) if keys[i] is not None and keys[i] == wanted[low + i]]
+                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], names=["cls", "shingles"])
         released()
 
     return found
@@ -323,7 +323,7 @@ def _leader_sets(led: DataFrame, sets: DataFrame, folder: str) -> DataFrame:
     parts = some.join(sets.withColumnsRenamed({"cls": "a", "shingles": "part"}), "a").groupBy("b").agg(F.collect_list("part").alias("parts"))
     own = sets.join(sizes.select(F.col("b").alias("cls")), "cls")
     every = own.join(parts.withColumnRenamed("b", "cls"), "cls", "left").select("cls", "shingles", F.coalesce("parts", F.array().cast("array<binary>")).alias("parts"))
-    return saved(every.mapInArrow(_counter, "cls binary, shingles binary, common binary, counts binary"), folder, "leader-sets")
+    return saved(every.mapInArrow(_counter, "cls long, shingles binary, common binary, counts binary"), folder, "leader-sets")
 
 
 def _with_sets(pairs: DataFrame, sets: DataFrame, of_b: DataFrame, led: bool) -> DataFrame:
@@ -334,18 +334,20 @@ def _with_sets(pairs: DataFrame, sets: DataFrame, of_b: DataFrame, led: bool) ->
 
 
 def _classed(docs: DataFrame, percent: int, k: int, miss: float, folder: str) -> tuple[DataFrame, DataFrame]:
-    """Rows (doc_id, text_hash, n_shingles, cls), and classes (cls, doc_id, comp) with comp null if alone.
+    """Rows (doc_id, text_hash, n_shingles, digest), and classes (cls, digest, doc_id, text_hash, comp).
 
-    A class's doc_id is its smallest; comp is a class of its component, the same for all of it.
+    A class has a number, cls, and the digest of its set; its doc_id is its smallest; comp is a
+    class of its component, the same for all of it.
     """
     spark = docs.sparkSession
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), "text")
-    signed = slim.mapInArrow(_signer(k), "doc_id long, text_hash long, n_shingles long, cls binary, sig binary, keys array<long>")
+    signed = slim.mapInArrow(_signer(k), "doc_id long, text_hash long, n_shingles long, digest binary, sig binary, keys array<long>")
     signed = saved(signed, folder, "signed")
-    usable = signed.where(F.col("cls").isNotNull() & F.col("doc_id").isNotNull())
+    usable = signed.where(F.col("digest").isNotNull() & F.col("doc_id").isNotNull())
     least = F.min(F.struct("doc_id", "text_hash")).alias("least")
-    classes = saved(usable.groupBy("cls").agg(least, F.first("sig").alias("sig"), F.first("keys").alias("keys")).select("cls", "least.*", "sig", "keys"), folder, "classes")
-    signed = saved(signed.select("doc_id", "text_hash", "n_shingles", "cls"), folder, "rows")
+    classes = usable.groupBy("digest").agg(least, F.first("sig").alias("sig"), F.first("keys").alias("keys"))
+    classes = saved(classes.select(F.monotonically_increasing_id().alias("cls"), "digest", "least.*", "sig", "keys"), folder, "classes")  # numbers are fixed from here on
+    signed = saved(signed.select("doc_id", "text_hash", "n_shingles", "digest"), folder, "rows")
     dropped(spark, f"{folder}/signed")  # signatures are needed by class only
     buckets = classes.select("cls", F.explode("keys").alias("key"))
     links: DataFrame | None = None
@@ -359,17 +361,18 @@ def _classed(docs: DataFrame, percent: int, k: int, miss: float, folder: str) ->
             named = pairs.select(F.explode(F.array("a", "b")).alias("cls"))
             if led is not None:
                 named = named.unionByName(led.select(F.explode(F.array("a", "b")).alias("cls")))
-            wanted = saved(classes.select("cls", F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).join(named.distinct(), "cls"), folder, "wanted")
-            texts = slim.join(wanted, (F.col("doc_id") == F.col("_id")) & (F.col("text_hash") == F.col("_hash"))).select("cls", "text").mapInArrow(_setter(k), "cls binary, shingles binary")
+            wanted = classes.select("cls", "digest", F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).join(named.distinct(), "cls")
+            texts = slim.join(wanted.hint("merge"), (F.col("doc_id") == F.col("_id")) & (F.col("text_hash") == F.col("_hash")))
+            texts = texts.select("digest", "cls", "text").mapInArrow(_setter(k), "cls long, shingles binary")
             sets = saved(texts.groupBy("cls").agg(F.first("shingles").alias("shingles")), folder, "sets")
         sig = classes.select("cls", "sig")
         near = pairs.join(sig.withColumnsRenamed({"cls": "a", "sig": "x"}), "a").join(sig.withColumnsRenamed({"cls": "b", "sig": "y"}), "b").select("a", "b", "x", "y")
-        full = _with_sets(near.mapInArrow(_pruner(percent / 100, miss), "a binary, b binary"), sets, sets, False)
+        full = _with_sets(near.mapInArrow(_pruner(percent / 100, miss), "a long, b long"), sets, sets, False)
         if led is not None:
             of_leaders = _leader_sets(led, sets, here)
             size = of_leaders.agg(F.sum(F.octet_length("shingles") + F.octet_length("common") + F.octet_length("counts"))).first()[0] or 0
             full = full.unionByName(_with_sets(led, sets, F.broadcast(of_leaders) if size <= MOST_LEADER_BYTES else of_leaders, True))
-        seen = saved(full.mapInArrow(_verifier(percent), "a binary, b binary, linked boolean, prefix array<long>, short long, d long, n long"), here, "seen")
+        seen = saved(full.mapInArrow(_verifier(percent), "a long, b long, linked boolean, prefix array<long>, short long, d long, n long"), here, "seen")
         new = seen.where("linked").select("a", "b")
         links = saved(new if links is None else links.unionByName(new).distinct(), here, "links")
         comps = components(links, f"{here}/comps")
@@ -378,7 +381,7 @@ def _classed(docs: DataFrame, percent: int, k: int, miss: float, folder: str) ->
         elements = seen.where(F.size("prefix") > 0).select(F.col("a").alias("cls"), "b", F.posexplode("prefix").alias("place", "e"), "short", "linked", "d", "n")
         buckets = elements.select("cls", F.xxhash64("b", "e").alias("key"), (F.col("place") >= F.col("short")).cast("int").alias("role"), "linked", F.col("place").cast("long").alias("place"), "d", "n")
         level += 1
-    return signed, saved(classes.select("cls", "doc_id", "text_hash").join(comps.withColumnsRenamed({"node": "cls"}), "cls", "left").withColumn("comp", F.coalesce("comp", "cls")), folder, "classed")
+    return signed, saved(classes.select("cls", "digest", "doc_id", "text_hash").join(comps.withColumnsRenamed({"node": "cls"}), "cls", "left").withColumn("comp", F.coalesce("comp", "cls")), folder, "classed")
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, k: int = 5, miss: float = MISS) -> DataFrame:
@@ -395,8 +398,8 @@ def near_duplicates(docs: DataFrame, percent: int = 80, k: int = 5, miss: float
     folder = scratch(docs.sparkSession, "near")
     signed, of_class = _classed(docs, percent, k, miss, folder)
     lowest = saved(of_class.groupBy("comp").agg(F.min("doc_id").alias("component_id")), folder, "lowest")
-    named = saved(of_class.select("cls", "comp").join(lowest, "comp").select("cls", "component_id"), folder, "named")
-    out = signed.select("doc_id", "n_shingles", "cls").join(named, "cls", "left")
+    named = saved(of_class.select("digest", "comp").join(lowest, "comp").select("digest", "component_id"), folder, "named")
+    out = signed.select("doc_id", "n_shingles", "digest").join(named, "digest", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
@@ -413,8 +416,8 @@ def deduplicated(docs: DataFrame, percent: int = 80, k: int = 5) -> DataFrame:
     folder = scratch(spark, "deduplicated")
     signed, of_class = _classed(docs, percent, k, MISS, folder)
     first = saved(of_class.groupBy("comp").agg(F.min(F.struct("doc_id", "text_hash")).alias("first")), folder, "first")
-    named = saved(of_class.select("cls", "comp").join(first, "comp").select("cls", "first"), folder, "named")
-    judged = signed.where("cls IS NOT NULL AND doc_id IS NOT NULL").join(named, "cls")
+    named = saved(of_class.select("digest", "comp").join(first, "comp").select("digest", "first"), folder, "named")
+    judged = signed.where("digest IS NOT NULL AND doc_id IS NOT NULL").join(named, "digest")
     gone = judged.where((F.col("doc_id") != F.col("first.doc_id")) | (F.col("text_hash") != F.col("first.text_hash"))).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
     gone = saved(gone.distinct(), folder, "gone")
     again = saved(signed.where("doc_id IS NOT NULL").groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")), folder, "again")
