@@ -91,6 +91,23 @@ def test_random_strings_are_told_from_names_and_digests(spark):
     assert [rows[i + 1] for i in range(len(rows))] == [1] * len(secrets) + [0] * len(names)
 
 
+def test_long_runs_are_counted_whole():
+    enc = secret_scan.encoding(secret_scan.vocabulary())
+    draw = random.Random(11)
+    for n in (4095, 4096, 4097, 9000):
+        run = "".join(draw.choice(string.ascii_letters) for _ in range(n))
+        assert secret_scan._tokens(run, enc) == len(enc.encode(run))
+        assert secret_scan.random_spans(f"see {run} there", enc, []) == [(4, 3, 4 + n)]
+
+
+def test_spans_within_base_spans_are_passed_over():
+    enc = secret_scan.encoding(secret_scan.vocabulary())
+    text = " ".join(f"token=xK9mQ2vLp8RtZw4N{k}bY7cHd3F zW4kP9xQ2mL7vR8tB{k}" for k in range(40))
+    base = secret_scan.base_spans(text)
+    runs = {(m.start(), m.end()) for m in re.finditer("zW4kP9xQ2mL7vR8tB[0-9]+", text)}
+    assert {(s, e) for s, _, e in secret_scan.random_spans(text, enc, base)} == runs
+
+
 def test_redaction(spark):
     docs = table(spark, ["a password=abcdefghijklmn z", "clean text", None, "d41d8cd98f00b204e9800998ecf8427e"])
     out = {r.doc_id: r for r in secret_scan.redacted(docs).collect()}

@@ -5,14 +5,16 @@ many for random strings. A run of 16 or more letters, digits and + / _ = - that
 gives at most RATIO characters a token is held to be random, and so is a part of it between the
 signs. Known digests (hexadecimal of a digest's length), UUIDs and times are cut out before. An
 identifier (parts of letters with digits at their ends only, such as field_name_2 or someName12)
-is none if its words alone give more characters a token.
+is none if its words alone give more characters a token. The ratio is of the whole run at any length.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
 from collections.abc import Callable, Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -82,8 +84,8 @@ def base_spans(text: str) -> list[Span]:
 
 
 def _tokens(run: str, enc) -> int:
-    # a long run is judged by parts, so that no call to the vocabulary grows with the text
-    return sum(len(enc.encode_ordinary(run[i : i + 4096])) for i in range(0, len(run), 4096))
+    """Tokens of the whole run, however long: the vocabulary takes time in proportion."""
+    return len(enc.encode_ordinary(run))
 
 
 def looks_random(run: str, enc, ratio: float) -> bool:
@@ -98,11 +100,14 @@ def looks_random(run: str, enc, ratio: float) -> bool:
 
 
 def random_spans(text: str, enc, base: list[Span], ratio: float = RATIO) -> list[Span]:
-    """Random runs, and random parts of other runs, that lie within no span of base."""
+    """Random runs, and random parts of other runs, that lie within no span of base (in ascending order)."""
     out = []
+    starts = [s for s, _, _ in base]
+    reach = list(accumulate((e for _, _, e in base), max))  # the furthest end of the spans so far
 
     def found(start: int, end: int) -> bool:
-        if any(s <= start and end <= e for s, _, e in base) or not looks_random(text[start:end], enc, ratio):
+        at = bisect_right(starts, start)
+        if (at and reach[at - 1] >= end) or not looks_random(text[start:end], enc, ratio):
             return False
         out.append((start, 3, end))
         return True
