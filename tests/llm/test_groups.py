@@ -4,6 +4,7 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -139,10 +140,36 @@ def test_shards_follow_further_links(spark):
     draw.shuffle(ids)
     pairs = [(a, b) for g in range(20) for a in ids[g * 4 : g * 4 + 1] for b in ids[g * 4 + 1 : g * 4 + 4]]
     links = spark.createDataFrame([(b, a, 300) for a, b in pairs] + [(a, b, 1) for a, b in pairs], "a long, b long, weight long")
-    at = {r.doc_id: r.shard for r in sharding.shard(docs, 4, links, rounds=8).collect()}
+    at = {r.doc_id: r.shard for r in sharding.shard(docs, 4, links).collect()}
     counts = Counter(at.values())
     assert max(counts.values()) - min(counts.values()) <= 1
-    assert sum(at[a] != at[b] for a, b in pairs) < 0.5 * len(pairs)
+    assert sum(at[a] != at[b] for a, b in pairs) <= 0.1 * len(pairs)  # three in four by chance
+
+
+def test_cut_links_come_near_the_least(spark):
+    # two rings of five joined by one link: the least cut into halves, by brute force, is one link
+    pairs = [(g * 5 + i, g * 5 + (i + 1) % 5) for g in range(2) for i in range(5)] + [(0, 5)]
+    least = min(sum((a in half) != (b in half) for a, b in pairs) for half in combinations(range(10), 5))
+    both = [(a + 1, b + 1, 1) for a, b in pairs] + [(b + 1, a + 1, 1) for a, b in pairs]
+    links = spark.createDataFrame(both, "a long, b long, weight long")
+    docs = table(spark, [f"alone {i}" for i in range(10)])
+    at = {r.doc_id: r.shard for r in sharding.shard(docs, 2, links, rounds=12).collect()}
+    assert sorted(Counter(at.values()).values()) == [5, 5]
+    assert sum(at[a + 1] != at[b + 1] for a, b in pairs) <= least + 3  # about half of eleven by chance
+
+
+def test_rounds_form_the_shards(spark):
+    texts = [f"t{i % 150}" for i in range(600)] + [f"alone {i}" for i in range(400)]
+    folder = sharding.scratch(spark, "test")
+    nodes = table(spark, texts).selectExpr("doc_id AS node", "doc_id", "md5(text) AS group")
+    quota = [250] * 4
+    labels, ties = sharding._propagated(nodes, None, 4, quota, folder, 8)
+    hashed = nodes.selectExpr("node", "cast(pmod(xxhash64(node), 4) AS int) AS shard")
+    before, after = (sharding.cut_share(x, ties).first() for x in (hashed, labels))
+    assert before.links == after.links == 2 * 450
+    assert before.cut > 0.6 * before.links and after.cut <= 0.02 * after.links
+    seeded = sharding.seeds(sharding.numbered(nodes.select("node", "group"), f"{folder}/2"), quota, f"{folder}/2", 31)
+    assert seeded.where("shard IS NOT NULL").count() == 150  # one row of each group; rounds give the others theirs
 
 
 def test_toxicity_on_held_out_rows(spark):
