@@ -6,6 +6,7 @@ import re
 import string
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from .support import ODD, empty, labels, odd, prose, table
@@ -250,3 +251,32 @@ def test_decontamination(spark):
     assert decontamination.decontaminated(odd(spark), bench).columns == odd(spark).columns
     assert decontamination.decontaminated(odd(spark), bench.limit(0)).count() == odd(spark).count()
     assert decontamination.contamination(empty(spark), bench).count() == 0
+
+
+def test_similar_windows_are_within_the_radius():
+    # windows of 30 to 90 words with a stretch of other words, at a similarity of 0.8 to 0.85
+    draw = np.random.default_rng(5)
+    near, n = 0, 0
+    for k in range(1500):
+        m = int(draw.integers(30, 90))
+        own = draw.integers(0, 1 << 63, m, dtype=np.uint64)
+        other = own.copy()
+        changed = int(m * 0.2 / 1.8)
+        other[:changed] = draw.integers(0, 1 << 63, changed, dtype=np.uint64)
+        prints = [decontamination._packed(decontamination.simhash(x).sum(axis=0)[None, :]) for x in (own, other)]
+        pairs = decontamination.near(*prints)
+        apart = int((np.unpackbits(prints[0]) != np.unpackbits(prints[1])).sum())
+        assert (len(pairs) == 1) == (apart <= decontamination.RADIUS)
+        near, n = near + len(pairs), n + 1
+    assert near / n >= 0.998
+
+
+def test_blocks_find_all_within_the_radius():
+    draw = np.random.default_rng(6)
+    items = draw.integers(0, 256, (70, 8), dtype=np.uint8)
+    windows = items[draw.integers(0, 70, 200)] ^ np.packbits(draw.random((200, 64)) < 0.28, axis=1)
+    apart = (np.unpackbits(windows, axis=1)[:, None, :] != np.unpackbits(items, axis=1)[None, :, :]).sum(axis=2)
+    want = set(map(tuple, np.argwhere(apart <= decontamination.RADIUS).tolist()))
+    for most in (1, 500, 1 << 20):
+        assert set(map(tuple, decontamination.near(windows, items, most=most).tolist())) == want
+    assert len(decontamination.near(windows[:0], items)) == len(decontamination.near(windows, items[:0])) == 0
