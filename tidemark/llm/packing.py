@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import heapq
+import math
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -121,7 +122,8 @@ def pack(docs: DataFrame, size: int = 2048, vocab: str | None = None, end_id: in
         return cut.withColumns({"sequence_id": F.lit(0).cast("long"), "offset": F.lit(0).cast("long")})
     table = spark.createDataFrame(where, "_length long, _low long, _high long, _first long, _copies long, _at long")
     order = [F.col("doc_id"), F.col("start"), F.col("ids_crc32")]
-    rank = ranked(cut, ["length"], F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(64)), order, "_rank", folder)
+    buckets = max(64, math.isqrt(max(histogram.values())))  # so that neither a bucket nor the table of their counts grows large
+    rank = ranked(cut, ["length"], F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(buckets)), order, "_rank", folder)
     joined = rank.join(F.broadcast(table), (F.col("length") == F.col("_length")) & (F.col("_rank") >= F.col("_low")) & (F.col("_rank") < F.col("_high")))
     number = F.col("_rank") - F.col("_low")
     return joined.select(
