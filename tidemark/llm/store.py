@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -12,13 +13,16 @@ from pyspark.sql import functions as F
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder under spark.checkpoint.dir, which driver and executors share.
 
-    Only where that setting is absent (local tests) is a folder of this machine taken.
+    Where that setting is absent, a local session (tests) takes a folder of this machine, and a
+    cluster the warehouse.
     """
     context = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
-    if not base:
+    if not base and re.match(r"local(\[|$)", context.master):
         context.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="tidemark-"))
         base = context.getCheckpointDir()
+    elif not base:
+        base = spark.conf.get("spark.sql.warehouse.dir") + "/_scratch"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
