@@ -277,6 +277,6 @@ def test_blocks_find_all_within_the_radius():
     windows = items[draw.integers(0, 70, 200)] ^ np.packbits(draw.random((200, 64)) < 0.28, axis=1)
     apart = (np.unpackbits(windows, axis=1)[:, None, :] != np.unpackbits(items, axis=1)[None, :, :]).sum(axis=2)
     want = set(map(tuple, np.argwhere(apart <= decontamination.RADIUS).tolist()))
-    for most in (1, 500, 1 << 20):
-        assert set(map(tuple, decontamination.near(windows, items, most=most).tolist())) == want
+    for few, most in ((0, 1), (0, 500), (0, 1 << 20), (1 << 20, 1)):
+        assert set(map(tuple, decontamination.near(windows, items, few=few, most=most).tolist())) == want
     assert len(decontamination.near(windows[:0], items)) == len(decontamination.near(windows, items[:0])) == 0

@@ -40,32 +40,35 @@ def _packed(sums: np.ndarray) -> np.ndarray:
     return np.packbits(sums > 0, axis=1).reshape(-1, 8)
 
 
-def near(windows: np.ndarray, items: np.ndarray, radius: int = RADIUS, most: int = 1 << 20) -> np.ndarray:
+def near(windows: np.ndarray, items: np.ndarray, radius: int = RADIUS, few: int = 1 << 12, most: int = 1 << 20) -> np.ndarray:
     """(window, item) pairs of fingerprints (rows of 8 bytes) that differ in at most radius bits.
 
     For each of radius + 1 blocks of bits, items are sorted by its value and windows look theirs
-    up. Windows are taken in parts, so that a part has about `most` candidates at the most.
+    up. Windows are taken in parts, so that a part has about `most` candidates a block at the most.
+    Up to `few` pairs, which cost less than the blocks, are all candidates; the pairs are the same.
     """
-    edges = np.linspace(0, 64, radius + 2).astype(int)
-    w, s = np.unpackbits(windows, axis=1), np.unpackbits(items, axis=1)
+    w, s = (np.ascontiguousarray(x).view(np.uint64).ravel() for x in (windows, items))
+    if len(w) * len(s) <= few:
+        return np.argwhere(np.bitwise_count(w[:, None] ^ s[None, :]) <= radius)
+    edges = np.linspace(0, 64, radius + 2).astype(np.uint64)
     codes = []
     for low, high in zip(edges[:-1], edges[1:], strict=True):
-        power = 1 << np.arange(high - low)
-        of_items = s[:, low:high] @ power
+        mask = (np.uint64(1) << (high - low)) - np.uint64(1)
+        of_items = (s >> low) & mask
         order = np.argsort(of_items, kind="stable")
-        codes.append((w[:, low:high] @ power, order, of_items[order]))
+        codes.append(((w >> low) & mask, order, of_items[order]))
     out = []
-    for low in range(0, len(w), step := max(1, most // max(1, len(s)))):
+    for low in range(0, len(w), step := max(1, most // len(s))):
         rows = np.arange(low, min(low + step, len(w)))
         found = []
         for of_windows, order, ascending in codes:
             first, last = (np.searchsorted(ascending, of_windows[rows], side=side) for side in ("left", "right"))
             n = last - first
-            at = np.arange(n.sum()) + np.repeat(first - np.concatenate([[0], np.cumsum(n)[:-1]]), n)
-            found.append(np.repeat(rows, n) * len(s) + order[at])
-        pairs = np.stack(np.divmod(np.unique(np.concatenate(found)), max(1, len(s))), axis=1)
-        out.append(pairs[(w[pairs[:, 0]] != s[pairs[:, 1]]).sum(axis=1) <= radius])
-    return np.concatenate(out) if out else np.zeros((0, 2), dtype=np.int64)
+            a, b = np.repeat(rows, n), order[np.arange(n.sum()) + np.repeat(first - np.concatenate([[0], np.cumsum(n)[:-1]]), n)]
+            close = np.bitwise_count(w[a] ^ s[b]) <= radius
+            found.append(a[close] * len(s) + b[close])
+        out.append(np.stack(np.divmod(np.unique(np.concatenate(found)), len(s)), axis=1))
+    return np.concatenate(out)
 
 
 class Items:
