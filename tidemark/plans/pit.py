@@ -31,18 +31,23 @@ select o_orderkey, o_custkey, count(known_at) as n_before,
 from g group by o_orderkey, o_custkey
 """)
 def g02_order_history(spark: SparkSession, d: str) -> DataFrame:
-    """For each order, what the customer's orders known strictly before it say."""
-    targets, past = _orders(spark, d)
-    gated = gate.as_of(targets, past, ["o_custkey"], "cutoff", "known_at")
-    n = F.row_number().over(Window.partitionBy("o_orderkey").orderBy(F.col("known_at").desc_nulls_last(), F.col("p_key").desc()))
-    rows = gated.withColumn("n", n)
-    total = F.col("p_total")
-    mean = lambda cond: F.sum(F.when(cond, total)).cast("double") / F.nullif(F.count(F.when(cond, total)), F.lit(0))
-    seasons = F.year("cutoff") - F.year("known_at")
-    return rows.groupBy("o_orderkey", "o_custkey").agg(
-        F.count("known_at").alias("n_before"), F.max(F.when(F.col("n") == 1, total)).cast("double").alias("last_total"),
-        mean(F.col("n") <= 3).alias("mean_last_3"), mean(seasons == 0).alias("mean_season"), mean(seasons == 1).alias("mean_prior_season"),
-    )
+    """For each order, what the customer's orders known strictly before it say.
+
+    Running windows that end a microsecond before the order, so that a customer's orders are sorted
+    once and never paired. Orders of one instant don't know each other; the last of several of an
+    instant is the one with the highest key.
+    """
+    rows = table(spark, d, "orders").select("o_orderkey", "o_custkey", micros(F.col("o_orderdate")).alias("at"), F.year("o_orderdate").alias("season"), F.col("o_totalprice").cast("decimal(18,2)").alias("total"))
+    w = Window.partitionBy("o_custkey")
+    last_three = w.orderBy("at", "o_orderkey").rowsBetween(-2, 0)
+    rows = rows.withColumns({"s3": F.sum("total").over(last_three), "c3": F.count("total").over(last_three)})
+    before = w.orderBy("at").rangeBetween(Window.unboundedPreceding, -1)
+    this = Window.partitionBy("o_custkey", "season").orderBy("at").rangeBetween(Window.unboundedPreceding, -1)
+    prior = w.orderBy("season").rangeBetween(-1, -1)
+    mean = lambda s, n: s.cast("double") / F.nullif(n, F.lit(0))
+    last = F.max(F.struct("at", "o_orderkey", "total", "s3", "c3")).over(before)
+    out = rows.select("o_orderkey", "o_custkey", F.count("at").over(before).alias("n_before"), last.alias("last"), *[mean(F.sum("total").over(x), F.count("total").over(x)).alias(name) for x, name in ((this, "mean_season"), (prior, "mean_prior_season"))])
+    return out.select("o_orderkey", "o_custkey", "n_before", F.col("last.total").cast("double").alias("last_total"), mean(F.col("last.s3"), F.col("last.c3")).alias("mean_last_3"), "mean_season", "mean_prior_season")
 
 
 @query("""
