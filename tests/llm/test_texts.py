@@ -12,6 +12,7 @@ import pytest
 from .support import ODD, empty, labels, odd, prose, table
 
 from tidemark.llm import decontamination, licenses, quality_rules, secret_scan
+from tidemark.llm.license_notices import NOTICES
 
 SPACED = "[^\x20\x09-\x0d]+"
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -183,7 +184,7 @@ def sample(tree, draw):
                 out += chr(arg)
             case "IN":
                 kind, value = draw.choice(arg)
-                out += chr(value) if str(kind) == "LITERAL" else "x"
+                out += {"LITERAL": lambda v: chr(v), "RANGE": lambda v: chr(draw.randint(*v))}.get(str(kind), lambda v: "x")(value)
             case "BRANCH":
                 out += sample(draw.choice(arg[1]), draw)
             case "SUBPATTERN":
@@ -199,13 +200,40 @@ def sample(tree, draw):
 
 def test_every_match_of_a_license_rule_holds_a_keyword():
     draw = random.Random(3)
-    assert len({(r.label, r.regex.pattern) for r in licenses.rules()}) == len(licenses.rules()) == 412
+    assert len({(r.label, r.regex.pattern) for r in licenses.rules()}) == len(licenses.rules())
+    hand_written = [x for notices in NOTICES.values() for x in notices]
+    assert len({x[3] for x in hand_written}) == len(hand_written) > 120
     for r in licenses.rules():
         for _ in range(60):
             text = sample(re._parser.parse(r.regex.pattern), draw)
             assert r.regex.fullmatch(text) and r.keywords & set(text.split()), (r.regex.pattern, text)
 
 
+@pytest.mark.parametrize(
+    ("text", "labels"),
+    [
+        # priority: the notice stands against the name that it contains
+        ("permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation license version 1 3", {"gfdl", "gfdl-1.3"}),
+        # containment: the mit clause holds its shorter form, the lesser gpl notice the gpl's name
+        ("permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files", {"mit"}),
+        ("you can redistribute it and or modify it under the terms of the gnu lesser general public license", {"lgpl"}),
+        # what overlaps without lying within stays
+        ("free and unencumbered software all rights reserved in the public domain", {"proprietary", "public-domain"}),
+        ("the software shall be used for good not evil", {"json"}), ("nothing of this kind", set()),
+    ],
+)
+def test_license_suppression(text, labels):
+    found = licenses.detect(text, set(text.split()))
+    assert {f[2] for f in found} == labels
+    # by brute force: no detection lies within another that was accepted before it
+    every = sorted((-r.priority, m.start() - m.end(), m.start(), m.end(), r.label) for r in licenses.rules() for m in r.regex.finditer(text))
+    kept = []
+    for _, _, s, e, label in every:
+        if not any(a <= s and e <= b for a, b, _ in kept):
+            kept.append((s, e, label))
+    assert sorted(kept) == sorted(f[:3] for f in found)
+
+
 def words(text):
     return re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", (text or "").translate(LOWER))
 

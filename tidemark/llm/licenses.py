@@ -1,8 +1,9 @@
 """License scan: ordered signature rules behind a keyword prefilter.
 
 Texts are matched as lower-cased words (digits, letters and anything beyond ASCII) joined by single
-spaces. Rules are regexes written as templates over a table of license families; a rule runs only
-on texts that hold one of its keywords, one of which every match holds as a word. Detections are taken by priority, then length, and one that lies
+spaces. Rules are hand-written signatures (license_notices.py) and, for names with versions, templates
+over a table of license families; a rule runs only on texts that hold one of its keywords, one of
+which every match holds as a word. Detections are taken by priority, then length, and one that lies
 within an accepted interval is suppressed. The base phrases are always kept.
 """
 
@@ -19,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.license_notices import NOTICES
 from tidemark.llm.words import ALNUM, Block, blocks
 
 #: The base phrases and their labels.
@@ -67,21 +69,6 @@ TEMPLATES = (
     (2, 0.8, r"{name} licen[cs]es?{v}"),
 )
 VERSIONED = (1, 0.6, r"{name}{v}")
-#: Rules that fit no template, as label, keyword, priority, confidence, regex.
-OTHERS = (
-    ("mit", "hereby", 3, 0.9, r"permission is hereby granted free of charge to any person obtaining a copy"),
-    ("bsd", "redistribution", 3, 0.9, r"redistribution and use in source and binary forms with or without modification are permitted"),
-    ("isc", "fee", 3, 0.9, r"permission to use copy modify and or distribute this software for any purpose with or without fee"),
-    ("gpl", "redistribute", 3, 0.9, r"you can redistribute it and or modify it under the terms of the gnu general public licen[cs]e"),
-    ("zlib", "altered", 3, 0.9, r"altered source versions must be plainly marked as such"),
-    ("public-domain", "domain", 2, 0.7, r"(?:dedicated to|placed in|released into|in) the public domain"),
-    ("cc0", "cc0", 3, 0.95, r"(?:creative commons )?cc0(?: 1(?: 0)?)?(?: universal)?"),
-    ("proprietary", "reserved", 1, 0.5, r"all rights reserved"),
-    ("proprietary", "confidential", 2, 0.6, r"(?:strictly )?confidential and proprietary"),
-    ("proprietary", "unauthorized", 2, 0.6, r"unauthorized (?:copying|reproduction|distribution) (?:of this \w+ )?is (?:strictly )?prohibited"),
-)
-
-
 @dataclass(frozen=True)
 class Rule:
     label: str
@@ -125,8 +112,9 @@ def rules() -> tuple[Rule, ...]:
             full = "cc-" + parts.replace(" ", "-") + (f"-{v.replace(' ', '.')}" if v else "")
             add(full, ("cc",), 3 + len(parts) / 10 + bool(v) / 2, 0.9, f"cc {parts}" + (f" {v}" if v else ""))
             add(full, ("creative",), 3 + len(parts) / 10 + bool(v) / 2, 0.95, f"creative commons {long}(?: licen[cs]e)?" + (f" {v}(?: international| unported| generic)?" if v else ""))
-    for label, keyword, priority, confidence, pattern in OTHERS:
-        add(label, (keyword,), priority, confidence, pattern)
+    for label, notices in NOTICES.items():
+        for priority, confidence, keywords, pattern in notices:
+            add(label, tuple(keywords.split("|")), priority, confidence, pattern)
     return tuple(sorted(out.values(), key=lambda r: -r.priority))
 
 
@@ -137,9 +125,11 @@ def base_places(text: str) -> list[tuple[int, int, str]]:
     """(first word, words, label) of every place of a base phrase in a text of words joined by spaces."""
     out, padded = [], f" {text} "
     for phrase, label in BASE:
-        at = padded.find(f" {phrase} ")
+        at, word, counted = padded.find(f" {phrase} "), -1, 0
         while at >= 0:
-            out.append((padded.count(" ", 0, at + 1) - 1, phrase.count(" ") + 1, label))
+            word += padded.count(" ", counted, at + 1)  # only from the last place on
+            counted = at + 1
+            out.append((word, phrase.count(" ") + 1, label))
             at = padded.find(f" {phrase} ", at + 1)
     return out
 
