@@ -19,7 +19,8 @@ from itertools import accumulate
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from tidemark.llm.words import released
 
 #: Kinds in their order, patterns, and least lengths (of group 2 for assign).
 KINDS = ("assign", "access", "hex", "random")
@@ -174,8 +175,7 @@ def redacted(docs: DataFrame, vocab: str | None = None, ratio: float = RATIO, ma
     """
     path = vocab or vocabulary()
 
-    @F.pandas_udf(T.StringType())
-    def clean(texts):
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoding(path)
 
         def one(text: str | None) -> str | None:
@@ -185,9 +185,13 @@ def redacted(docs: DataFrame, vocab: str | None = None, ratio: float = RATIO, ma
             spans = base + random_spans(text, enc, base, ratio)
             return without(text, spans, mark) if spans else text
 
-        return texts.map(one, na_action="ignore")
+        for batch in batches:
+            at = batch.schema.get_field_index("text")
+            texts = pa.array([one(text.as_py()) for text in batch.column(at)], pa.string())
+            yield pa.RecordBatch.from_arrays([texts if i == at else c for i, c in enumerate(batch.columns)], names=batch.schema.names)
+        released()
 
-    out = docs.withColumn("text", clean("text"))
+    out = docs.mapInArrow(clean, docs.schema)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.char_length("text")).cast(docs.schema["n_chars"].dataType))
     return out
