@@ -28,7 +28,7 @@ class WordEncoder:
     is emptied at `most` words, which changes no result.
     """
 
-    def __init__(self, path: str, most: int = 100_000):
+    def __init__(self, path: str, most: int = 300_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -75,7 +75,7 @@ class WordEncoder:
 
     def encode(self, column: pa.Array):
         """Yields (row, ids of its text as uint32) for every row."""
-        for low, block in blocks(column, 1 << 19, marks=True):  # small, as a block's arrays take many times its bytes
+        for low, block in blocks(column, 1 << 20, marks=True):  # small, as a block's arrays take many times its bytes
             block.lowered_letters()
             distinct, at, which = np.unique(block.hashes(), return_index=True, return_inverse=True)
             if len(self.known) > self.most:
