@@ -58,14 +58,18 @@ def n01_json(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "events").groupBy("event_type", (k % 10).alias("k")).agg(F.count(F.lit(1)).alias("n"))
 
 
+#: Ids in a nested row: a roster, or a map of points, never holds more however large the table is.
+BLOCK = 256
+
+
 def _rosters(spark: SparkSession, d: str) -> DataFrame:
-    """One nested row a nation: its customers, and which start."""
-    c = table(spark, d, "customer").where("c_custkey % 3 <> 1")
+    """Nested rows by nation and block of ids: its customers, and which start."""
     rows = F.array_sort(F.collect_list(F.struct("c_custkey", "c_mktsegment", "c_acctbal")))
-    return c.groupBy("c_nationkey").agg(rows.alias("players"), F.array_sort(F.collect_list(F.when(F.col("c_acctbal") > 5000, F.col("c_custkey")))).alias("starters"))
+    starters = F.array_sort(F.collect_list(F.when(F.col("c_acctbal") > 5000, F.col("c_custkey"))))
+    return table(spark, d, "customer").groupBy("c_nationkey", F.floor(F.col("c_custkey") / BLOCK).alias("block")).agg(rows.alias("players"), starters.alias("starters"))
 
 
-@query("select c_nationkey, c_custkey, c_mktsegment, c_acctbal > 5000 as starts from customer where c_custkey % 3 <> 1")
+@query("select c_nationkey, c_custkey, c_mktsegment, c_acctbal > 5000 as starts from customer")
 def n03_explode_flags(spark: SparkSession, d: str) -> DataFrame:
     """Nested rosters as rows with a flag."""
     rows = _rosters(spark, d).select("c_nationkey", "starters", F.explode("players").alias("p"))
@@ -73,23 +77,26 @@ def n03_explode_flags(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""
-with s as (select c_nationkey, c_custkey, row_number() over (partition by c_nationkey order by c_custkey) as i from customer where c_custkey % 3 <> 1 and c_acctbal > 5000)
+with s as (select c_nationkey, c_custkey, row_number() over (partition by c_nationkey order by c_custkey) as i from customer where c_acctbal > 5000)
 select c_nationkey, c_custkey, case i when 1 then 'QB' when 2 then 'RB' when 3 then 'WR' end as slot from s where i <= 3
 """)
 def n04_zip(spark: SparkSession, d: str) -> DataFrame:
-    """Starters zipped with slots by place."""
+    """Starters zipped with slots by place: the first three of each block, then of the nation, so no array grows with the table."""
     slots = F.array(*[F.lit(x) for x in ("QB", "RB", "WR")])
-    firsts = _rosters(spark, d).select("c_nationkey", F.slice("starters", 1, 3).alias("s"))
-    pairs = firsts.select("c_nationkey", F.explode(F.arrays_zip(F.col("s").alias("c"), F.slice(slots, F.lit(1), F.size("s")).alias("slot"))).alias("z"))
+    firsts = _rosters(spark, d).select("c_nationkey", F.explode(F.slice("starters", 1, 3)).alias("c"))
+    place = F.row_number().over(Window.partitionBy("c_nationkey").orderBy("c"))
+    lineups = firsts.withColumn("i", place).where("i <= 3").groupBy("c_nationkey").agg(F.array_sort(F.collect_list("c")).alias("s"))
+    pairs = lineups.select("c_nationkey", F.explode(F.arrays_zip(F.col("s").alias("c"), F.slice(slots, F.lit(1), F.size("s")).alias("slot"))).alias("z"))
     return pairs.select("c_nationkey", F.col("z.c").alias("c_custkey"), "z.slot")
 
 
-@query("select c_nationkey, c_custkey, c_acctbal as points from customer where c_custkey % 3 <> 1 and c_custkey % 5 = 0")
+@query("select o_custkey, c_acctbal as points from (select distinct o_custkey from orders) join customer on c_custkey = o_custkey where c_acctbal > 0")
 def n05_map_lookup(spark: SparkSession, d: str) -> DataFrame:
-    """Points from a map by id; ids it lacks are left out."""
-    points = F.map_from_arrays(F.transform("players", lambda p: p["c_custkey"]), F.transform("players", lambda p: p["c_acctbal"]))
-    rows = _rosters(spark, d).select("c_nationkey", points.alias("m")).select("c_nationkey", "m", F.explode(F.map_keys("m")).alias("c_custkey")).where("c_custkey % 5 = 0")
-    return rows.select("c_nationkey", "c_custkey", F.try_element_at("m", F.col("c_custkey")).alias("points")).where("points IS NOT NULL")
+    """Points of ordering customers from maps by id, which hold those with a positive balance; ids they lack are left out."""
+    block = lambda c: F.floor(F.col(c) / BLOCK).alias("block")
+    maps = table(spark, d, "customer").where("c_acctbal > 0").groupBy(block("c_custkey")).agg(F.map_from_entries(F.collect_list(F.struct("c_custkey", "c_acctbal"))).alias("m"))
+    ids = table(spark, d, "orders").select("o_custkey").distinct().withColumn("block", block("o_custkey"))
+    return ids.join(maps, "block").select("o_custkey", F.try_element_at("m", F.col("o_custkey")).alias("points")).where("points IS NOT NULL")
 
 
 @query("select conv_id, turn, role, unnest(string_split(role || ';' || turn, ';')) as part from conversations")
