@@ -70,6 +70,36 @@ def test_rank_average_and_spearman(spark):
     assert [r.g for r in aggregates.spearman(df, ["g"], "x", "y", 3).collect()] == ["g"]
 
 
+def test_pair_accuracy_counts_every_pair(spark):
+    rng = np.random.default_rng(5)
+    rows = [(g, int(y), int(p)) for g, n in (("a", 1), ("b", 2), ("c", 90), ("d", 40)) for y, p in zip(rng.integers(0, 30, n), rng.integers(0, 12, n), strict=True)]
+    rows += [("e", 1, 1), ("e", 1, 2), ("f", None, 1), ("f", 2, None), ("f", 3, 3)]
+    want = {}
+    for (g, y, p), (h, z, q) in itertools.combinations(rows, 2):
+        if g == h and None not in (y, p, z, q) and y != z:
+            n, c = want.get(g, (0, 0.0))
+            want[g] = n + 1, c + (0.5 if p == q else float((p < q) == (y < z)))
+    got = aggregates.pair_accuracy(spark.createDataFrame(rows, "g string, y int, p int"), ["g"], "y", "p").collect()
+    assert {r.g: (r.pairs, r.credit) for r in got} == want
+
+
+def test_rank_of_all_is_the_rank_of_one_window(spark):
+    rng = np.random.default_rng(6)
+    values = [*[float(v) for v in rng.integers(0, 400, 900)], *[7.0] * 300, None, None]
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(5)
+    for parts in (1, 7, 200):
+        for r in windows.rank_of_all(df, "v", "place", parts).collect():
+            assert r.place == 1 + (sum(v is not None for v in values) if r.v is None else sum(v is not None and v > r.v for v in values))
+    assert windows.rank_of_all(df.limit(0), "v", "place").count() == 0
+
+
+def test_assigned_uses_the_best_few_of_a_kind(spark):
+    rows = [(1, i, "AB"[i % 2], float(i * 37 % 101)) for i in range(100)]
+    out = assigned(spark.createDataFrame(rows, "g int, id long, kind string, score double"), "g", "id", "kind", "score", {"a": ["A"], "b": ["B"], "any": ["A", "B"]}, "g int, slot string, id long, score double")
+    best = {k: sorted((s for *_, kind, s in rows if kind == k), reverse=True) for k in "AB"}
+    assert sum(r.score for r in out.collect()) == best["A"][0] + best["B"][0] + max(best["A"][1], best["B"][1])
+
+
 def test_simplex_and_least_squares(spark):
     df = spark.range(200).select(F.col("id").cast("double").alias("a"), (F.col("id") * 3 + 1).cast("double").alias("b")).withColumn("y", 0.25 * F.col("a") + 0.75 * F.col("b"))
     assert aggregates.simplex_weights(df, ["a", "b"], "y") == pytest.approx([0.25, 0.75])

@@ -7,6 +7,9 @@ from collections.abc import Callable
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tidemark.operators.windows import last_n
 
 
 def best_assignment(gain: np.ndarray) -> list[int]:
@@ -53,8 +56,9 @@ def assigned(pool: DataFrame, group: str, candidate: str, kind: str, score: str,
     """Fill each group's slots from its candidates with the largest total score.
 
     slots: name to the kinds it takes. Rows without a score can't be taken, and neither can more of
-    a slot than there are candidates: such a slot is left out. A group is one team's roster, tens
-    of rows. Returns group, slot, candidate and score under `schema`.
+    a slot than there are candidates: such a slot is left out. Slots ask for kinds alone, so the best
+    few of a kind, as many as there are slots, are all that a group can use: a task gets those,
+    however large the group. Returns group, slot, candidate and score under `schema`.
     """
 
     def fill(rows: pd.DataFrame) -> pd.DataFrame:
@@ -67,4 +71,6 @@ def assigned(pool: DataFrame, group: str, candidate: str, kind: str, score: str,
         return pd.DataFrame(found, columns=[group, "slot", candidate, score])
 
     fill_group: Callable = fill
-    return pool.select(group, candidate, kind, score).groupBy(group).applyInPandas(fill_group, schema)
+    usable = pool.where(F.col(kind).isin(sorted({k for kinds in slots.values() for k in kinds})) & F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double")))
+    best = last_n(usable.select(group, candidate, kind, score), [group, kind], [F.col(score).desc(), F.col(candidate)], len(slots))
+    return best.groupBy(group).applyInPandas(fill_group, schema)

@@ -31,6 +31,23 @@ def rank_min(keys: list[str], order: Column, value: str) -> Column:
     return F.when(F.col(value).isNotNull(), F.rank().over(Window.partitionBy(*keys).orderBy(order)))
 
 
+def rank_of_all(df: DataFrame, value: str, name: str, parts: int = 200) -> DataFrame:
+    """df with each row's rank in the whole table, the largest value first, ties sharing the lowest.
+
+    No task gets the whole table: approximate percentiles cut it into ranges, a value is in one
+    range only, and the sizes of the ranges above are added to the rank within one. At most `parts`
+    cuts and sizes reach the driver. NULL values come last, as one range. df must give the same
+    values when read again.
+    """
+    cuts = df.agg(F.percentile_approx(value, [i / parts for i in range(1, parts)])).first()[0] or []
+    above = sum((F.when(F.col(value) < c, 1).otherwise(0) for c in sorted(set(cuts))), F.lit(0))
+    cut = df.withColumn("_part", F.when(F.col(value).isNull(), len(cuts) + 1).otherwise(above))
+    sizes = {r["_part"]: r["count"] for r in cut.groupBy("_part").count().collect()}
+    starts = F.array(*[F.lit(sum(n for p, n in sizes.items() if p < i)).cast("long") for i in range(len(cuts) + 2)])
+    within = F.rank().over(Window.partitionBy("_part").orderBy(F.col(value).desc_nulls_last()))
+    return cut.withColumn(name, within + F.get(starts, F.col("_part"))).drop("_part")
+
+
 def rank_average(keys: list[str], value: str) -> Column:
     """The rank with ties sharing their mean."""
     ties = F.count(F.lit(1)).over(Window.partitionBy(*keys, value))

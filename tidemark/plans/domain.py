@@ -132,7 +132,7 @@ def r07_baselines(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "lineitem").where(F.year("l_shipdate").isin(1996, 1997))
     mean = lambda y: F.sum(F.when(F.year("l_shipdate") == y, F.col("l_quantity").cast("decimal(18,2)"))).cast("double") / F.nullif(F.count_if(F.year("l_shipdate") == y), F.lit(0))
     base = rows.groupBy("l_suppkey").agg(mean(1997).alias("c"), mean(1996).alias("p")).select("l_suppkey", S.blended(F.col("c"), F.col("p"), S.prior_weight(F.lit(2))).alias("base"))
-    return base.withColumn("place", F.rank().over(Window.orderBy(F.col("base").desc())).cast("long"))
+    return windows.rank_of_all(base, "base", "place")
 
 
 @query("""
