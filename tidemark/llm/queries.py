@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontamination, licenses, near_dups, packing, quality_rules, quality_trees, records, secret_scan, sharding, toxicity
+from tidemark.llm import decontamination, licenses, near_dups, packing, quality_rules, quality_trees, records, secret_scan, sharding, toxicity, whitening
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,8 +57,16 @@ def op6_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_trees.scored(documents(spark, sf_dir), labels(spark, sf_dir))
 
 
+def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+
+
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(embeddings(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_token_records, op3_packing, op4_sharding, op5_secret_scan, op6_quality_trees, op7_near_dups, op8_quality_rules, op9_decontamination, op10_license_scan)}
+    return {f.__name__: f for f in (op1_toxicity, op2_token_records, op3_packing, op4_sharding, op5_secret_scan, op6_quality_trees, op7_near_dups, op8_quality_rules, op9_decontamination, op10_license_scan, op11_whitening)}
 
 
 def oracle_sql() -> dict[str, str]:
