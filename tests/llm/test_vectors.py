@@ -6,8 +6,9 @@ from fractions import Fraction
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from tidemark.llm import whitening
+from tidemark.llm import hard_negatives, whitening
 
 SCHEMA = "vec_id long, embedding array<float>, label int, x string, list string, n long"
 
@@ -82,3 +83,61 @@ def test_residues_give_the_exact_scatter():
             want = int((ones[:, i] * ones[:, j]).sum())
             assert whitening.reconstructed([int(part[i, j]) % p for part, p in zip(parts, moduli, strict=True)], moduli) == want
     assert all(p < 1 << whitening.BITS and all(p % q for q in range(2, 1025)) for p in moduli)
+
+
+def plain_negatives(rows, asks, positives=5, negatives=3):
+    """All pairs, by plain loops: rows are (vec_id, whole vector, label), each once."""
+    last = lambda r: (r[0] is None, r[0] or 0)
+    out = []
+    for a in rows:
+        if not asks(a[0]):
+            continue
+        scored = sorted(((sum(x * y for x, y in zip(a[1], b[1], strict=True)), b) for b in rows if b is not a), key=lambda t: (-t[0], last(t[1])))
+        for score, p in [t for t in scored if t[1][2] == a[2]][:positives]:
+            fitting = [t for t in scored if t[1][2] != a[2] and 50 * score <= 100 * t[0] <= 95 * score]
+            out += [(a[0], p[0], i + 1, b[0], score, s) for i, (s, b) in enumerate(fitting[:negatives])]
+    return out
+
+
+@pytest.mark.parametrize("sizes", [(64, 8192, 256), (5, 40, 7)])
+def test_negatives_equal_all_pairs(spark, monkeypatch, sizes):
+    for name, value in zip(("LISTS", "CHUNK", "BLOCK"), sizes, strict=True):
+        monkeypatch.setattr(hard_negatives, name, value)
+    monkeypatch.setattr(hard_negatives, "ROUNDS", (1, 3, 64))
+    made = drawn(40, 8, 5)
+    draw = random.Random(6)
+    rows = [(i, [c + draw.gauss(0, 0.2) for c in made[i % 40]], i % 3) for i in range(260)]
+    rows += [(1000 + i, made[0], 1) for i in range(60)]  # one vector in many rows: ties by vec_id
+    rows += [(None, made[0], 2), (1007, made[2], 2)]
+    rows = [(i, np.array(v, dtype=np.float32).tolist(), label) for i, v, label in rows]
+    odd = [(2000, None, 0), (2010, made[1], None), (2020, [1.0, None] + [0.0] * 6, 1), (2030, [float("nan")] * 8, 1), (2040, [1.0], 1), rows[3], rows[3]]
+    got = hard_negatives.mined(vectors(spark, rows + odd), F.col("vec_id") % 10 == 0).collect()
+    want = plain_negatives([(i, whole(v, 256), label) for i, v, label in rows], lambda i: i is not None and i % 10 == 0)
+    key = lambda t: tuple((x is None, x or 0) for x in t)
+    assert len(want) > 100 and sorted(map(tuple, got), key=key) == sorted(want, key=key)
+
+
+def test_negatives_of_empty_tables_and_of_lone_labels(spark):
+    every = F.lit(True)
+    assert hard_negatives.mined(vectors(spark, [(1, [1.0], 0)]).limit(0), every).collect() == []
+    assert hard_negatives.mined(vectors(spark, [(1, [1.0], 0), (2, [1.0], 1)]), every).collect() == []
+    assert hard_negatives.mined(vectors(spark, [(1, [3e38], 0), (2, [2e38], 0), (3, [4.0], 1)]), every).collect() == []
+
+
+def test_lists_beyond_the_bound_and_outside_the_window_are_not_visited():
+    low, high = np.array([[0.0, 5.0, 40.0]]), np.array([[10.0, 20.0, 60.0]])
+    one = lambda x: np.array([[x]], dtype=float)
+    asked = lambda least, most, kth, end=3: hard_negatives.wanted(low, high, 0, end, one(least), one(most), one(kth))[0].tolist()
+    assert asked(-99, 99, -np.inf) == [True, True, True] and asked(-99, 99, -np.inf, 1) == [False, False, True]
+    assert asked(-99, 99, 20) == [False, True, True]  # a bound equal to the k-th score may hold a tie
+    assert asked(-99, 99, 20.5) == [False, False, True] and asked(8, 30, -np.inf) == [True, True, False] and asked(1, 0, -np.inf) == [False] * 3
+
+
+def test_bounds_hold_for_every_row_of_a_list():
+    x = (np.array(drawn(500, 8, 9)) * 256).astype(np.int64)
+    centres = hard_negatives.centroids(x, 6)
+    near = hard_negatives.nearest(x, centres)
+    radii = np.array([np.sqrt(((x[near == k] - centres[k]) ** 2).sum(axis=1)).max() for k in range(6)])
+    low, high = hard_negatives.bounds(x[:50], centres, radii)
+    scores = x[:50] @ x.T
+    assert all((low[:, near[j]] <= scores[:, j]).all() and (scores[:, j] <= high[:, near[j]]).all() for j in range(500))
