@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontamination, hard_negatives, licenses, near_dups, packing, quality_rules, quality_trees, records, secret_scan, sharding, toxicity, whitening
+from tidemark.llm import decontamination, hard_negatives, licenses, near_dups, packing, quality_rules, quality_trees, records, repeats, secret_scan, sharding, toxicity, whitening
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,13 +66,17 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened(embeddings(spark, sf_dir))
 
 
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.without_repeats(documents(spark, sf_dir))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives.mined(embeddings(spark, sf_dir).withColumn("label", moved), F.col("vec_id") % 50 == 0)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_token_records, op3_packing, op4_sharding, op5_secret_scan, op6_quality_trees, op7_near_dups, op8_quality_rules, op9_decontamination, op10_license_scan, op11_whitening, op13_hard_negatives)}
+    return {f.__name__: f for f in (op1_toxicity, op2_token_records, op3_packing, op4_sharding, op5_secret_scan, op6_quality_trees, op7_near_dups, op8_quality_rules, op9_decontamination, op10_license_scan, op11_whitening, op12_suffix_dedup, op13_hard_negatives)}
 
 
 def oracle_sql() -> dict[str, str]:
