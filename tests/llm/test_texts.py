@@ -93,6 +93,20 @@ def test_random_strings_are_told_from_names_and_digests(spark):
     assert [rows[i + 1] for i in range(len(rows))] == [1] * len(secrets) + [0] * len(names)
 
 
+@pytest.mark.parametrize(("letters", "n", "least"), [(string.ascii_letters + string.digits, n, 0.99) for n in (16, 20, 32)] + [(string.ascii_letters, n, 0.99) for n in (16, 20, 32)] + [(string.ascii_uppercase + string.digits, 20, 0.95)])
+def test_recall_on_drawn_strings(letters, n, least):
+    draw, enc = random.Random(n), secret_scan.encoding(secret_scan.vocabulary())
+    drawn = ["".join(draw.choice(letters) for _ in range(n)) for _ in range(1000)]
+    assert sum(bool(secret_scan.random_spans(f"key {x} here", enc, secret_scan.base_spans(x))) for x in drawn) >= least * len(drawn)
+
+
+def test_no_word_of_the_documents_is_random(spark):
+    rows = secret_scan.scanned(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).where("n_random > 0").collect()
+    texts = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()} if rows else {}
+    found = [texts[r.doc_id][int(s) : int(e)] for r in rows for k, s, e in (x.split(":") for x in r.spans.split(",")) if k == "random"]
+    assert not [x for x in found if x.isalpha()]
+
+
 def test_long_runs_are_counted_whole():
     enc = secret_scan.encoding(secret_scan.vocabulary())
     draw = random.Random(11)

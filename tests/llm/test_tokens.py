@@ -67,10 +67,27 @@ def test_round_trip(spark):
 
 def test_index_reads_in_any_order(spark):
     folder = scratch(spark, "records")
-    files = records.in_order(records.write_records(table(spark, [prose(k, 5 + k) for k in range(20)]).coalesce(1), folder))
-    name, n, _ = files[0]
-    picks = list(range(n))[::-1]
-    assert [d for d, _ in records.read_at(folder, name, picks)] == [d for d, _ in records.read_at(folder, name, sorted(picks))][::-1]
+    texts = [prose(k, 5 + k) for k in range(20)]
+    file = records.in_order(records.write_records(table(spark, texts).coalesce(1), folder).where("records > 3")).first()
+    first = file.first_doc
+    picks = [2, 0, file.records - 1, 1, 2]
+    got = list(records.read_at(folder, file.file, picks))
+    assert [d for d, _ in got] == [first + k for k in picks]
+    assert all((ids == ids_of(texts[d - 1])).all() for d, ids in got)
+
+
+def test_shared_folders_by_the_names_that_arrow_has():
+    assert [records.uri_of(x) for x in ("s3a://b/x:y", "S3N://b", "file:///tmp/a", "/tmp/a", "hdfs://h:1/x", "abfss://c@a/x", "gcs://b")] == ["s3://b/x:y", "s3://b", "file:///tmp/a", "/tmp/a", "hdfs://h:1/x", "abfss://c@a/x", "gs://b"]
+    with pytest.raises(ValueError, match="oss"):
+        records.uri_of("oss://b/x")
+
+
+def test_ranges_follow_the_bytes(spark, monkeypatch):
+    docs = table(spark, [prose(k, 50) for k in range(40)])
+    few = records.ranges(docs)
+    monkeypatch.setattr(records, "RANGE_BYTES", 500)
+    assert records.ranges(docs) > few == records.ranges(docs.limit(0))
+    assert records.round_trip(docs).agg({"n_tokens": "sum"}).first()[0] == sum(len(ids_of(prose(k, 50))) for k in range(40))
 
 
 def test_packing_covers_every_id_once(spark):

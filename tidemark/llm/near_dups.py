@@ -277,6 +277,25 @@ def components(links: DataFrame, folder: str) -> DataFrame:
         labels = new.select("node", "comp")
 
 
+def joined_components(comps: DataFrame | None, links: DataFrame, folder: str) -> DataFrame:
+    """node and comp as components() gives them for all earlier links (of comps) and these further ones.
+
+    Links within a component say nothing new. Those between components, a few, are links of their
+    labels, and only these are solved; every other component stays as it is.
+    """
+    if comps is None:
+        return components(links, folder)
+    for end in ("a", "b"):
+        links = links.join(comps.withColumnsRenamed({"node": end, "comp": "_c"}), end, "left").withColumn(end, F.coalesce("_c", end)).drop("_c")
+    between = saved(links.where("a <> b").select("a", "b").distinct(), folder, "between")
+    if not between.limit(1).count():
+        return comps
+    solved = components(between, folder)
+    moved = comps.join(solved.select(F.col("node").alias("comp"), F.col("comp").alias("_c")), "comp", "left").select("node", F.coalesce("_c", "comp").alias("comp"))
+    fresh = solved.join(comps.select("node"), "node", "left_anti").select("node", "comp")  # classes that had no link before
+    return saved(moved.unionByName(fresh), folder, "moved")
+
+
 def _paired(buckets: DataFrame, comps: DataFrame | None, few: int, percent: int, folder: str) -> tuple[DataFrame, DataFrame | None]:
     """Pairs (a, b) of small buckets, and pairs (a, its leader b) of large ones, None without any.
 
@@ -350,7 +369,6 @@ def _classed(docs: DataFrame, percent: int, k: int, miss: float, folder: str) ->
     signed = saved(signed.select("doc_id", "text_hash", "n_shingles", "digest"), folder, "rows")
     dropped(spark, f"{folder}/signed")  # signatures are needed by class only
     buckets = classes.select("cls", F.explode("keys").alias("key"))
-    links: DataFrame | None = None
     comps: DataFrame | None = None
     sets: DataFrame | None = None
     level = 0
@@ -373,9 +391,7 @@ def _classed(docs: DataFrame, percent: int, k: int, miss: float, folder: str) ->
             size = of_leaders.agg(F.sum(F.octet_length("shingles") + F.octet_length("common") + F.octet_length("counts"))).first()[0] or 0
             full = full.unionByName(_with_sets(led, sets, F.broadcast(of_leaders) if size <= MOST_LEADER_BYTES else of_leaders, True))
         seen = saved(full.mapInArrow(_verifier(percent), "a long, b long, linked boolean, prefix array<long>, short long, d long, n long"), here, "seen")
-        new = seen.where("linked").select("a", "b")
-        links = saved(new if links is None else links.unionByName(new).distinct(), here, "links")
-        comps = components(links, f"{here}/comps")
+        comps = joined_components(comps, seen.where("linked").select("a", "b"), f"{here}/comps")
         if led is None:
             break
         elements = seen.where(F.size("prefix") > 0).select(F.col("a").alias("cls"), "b", F.posexplode("prefix").alias("place", "e"), "short", "linked", "d", "n")

@@ -16,7 +16,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.store import saved, scratch
@@ -60,11 +60,25 @@ def parsed(data: bytes) -> tuple[int | None, np.ndarray]:
     return None if null else doc_id, np.frombuffer(data, dtype=f"<u{width}", offset=struct.calcsize(HEAD))
 
 
+#: Schemes of Hadoop's file systems and what Arrow calls the same stores.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "s3": "s3", "gs": "gs", "gcs": "gs", "hdfs": "hdfs", "viewfs": "viewfs", "abfs": "abfs", "abfss": "abfss", "file": "file"}
+
+
+def uri_of(path: str) -> str:
+    """A shared folder as Arrow names it; a ValueError where it has no name for the scheme."""
+    scheme, colon, rest = path.partition(":")
+    if not colon or "/" in scheme:
+        return path
+    if scheme.lower() not in SCHEMES:
+        raise ValueError(f"records can't be written to {scheme}: its files can't be opened outside Spark; set spark.checkpoint.dir to one of {', '.join(sorted(SCHEMES))}")
+    return f"{SCHEMES[scheme.lower()]}:{rest}"
+
+
 def store_of(path: str):
     """The file system of a shared folder (local, HDFS or object store) and the path in it."""
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(path)
+    return fs.FileSystem.from_uri(uri_of(path))
 
 
 def _writer(folder: str, vocab: str, end_id: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -98,6 +112,16 @@ def _writer(folder: str, vocab: str, end_id: int) -> Callable[[Iterator[pa.Recor
     return write
 
 
+#: Bytes of text that one task writes to one file, about.
+RANGE_BYTES = 256 << 20
+
+
+def ranges(docs: DataFrame) -> int:
+    """How many ranges of doc_ids to write: as many as Spark shuffles to, or more, so that a range has about RANGE_BYTES."""
+    size = docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
+    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // RANGE_BYTES))
+
+
 def write_records(docs: DataFrame, folder: str, vocab: str | None = None, end_id: int = END_ID) -> DataFrame:
     """Tokenize whole texts and write them to folder in ascending doc_id order; returns the manifest.
 
@@ -108,29 +132,24 @@ def write_records(docs: DataFrame, folder: str, vocab: str | None = None, end_id
     whole. A task that runs again writes another file, and only returned files are listed.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("_order", F.xxhash64("text"))
-    placed = rows.repartitionByRange("doc_id", "_order").sortWithinPartitions("doc_id", "_order")
+    placed = rows.repartitionByRange(ranges(docs), "doc_id", "_order").sortWithinPartitions("doc_id", "_order")
     listed = placed.mapInArrow(_writer(folder, vocab or vocabulary(), end_id), "file string, records long, tokens long, bytes long, first_doc long, first_order long")
     return saved(listed, folder, "manifest")
 
 
-def in_order(manifest: DataFrame) -> list[tuple[str, int, int]]:
-    """(file, records, ids before it) of every file; one row for each task that wrote."""
-    files = sorted(manifest.collect(), key=lambda r: (r.first_doc is not None, r.first_doc or 0, r.first_order))
-    out, before = [], 0
-    for r in files:
-        out.append((r.file, r.records, before))
-        before += r.tokens
-    return out
+def in_order(manifest: DataFrame) -> DataFrame:
+    """The manifest with start, the ids in all files before: one row for each file, so a window over all of them is small."""
+    before = Window.orderBy(F.asc_nulls_first("first_doc"), "first_order").rowsBetween(Window.unboundedPreceding, -1)
+    return manifest.withColumn("start", F.coalesce(F.sum("tokens").over(before), F.lit(0)))
 
 
-def read_records(spark: SparkSession, folder: str, files: list[tuple[str, int, int]]) -> DataFrame:
-    """doc_id, start, n_tokens and ids_crc32 of every record, one task for each file; checks all checksums."""
+def read_records(manifest: DataFrame, folder: str) -> DataFrame:
+    """doc_id, start, n_tokens and ids_crc32 of every record of the manifest's files; checks all checksums."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = store_of(folder)
         for batch in batches:
-            for k in batch.column(0).to_pylist():
-                name, _, start = files[k]
+            for name, start in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 rows: list[tuple] = []
                 with store.open_input_stream(f"{base}/{name}.records", buffer_size=1 << 20) as file:
                     while (data := read_frame(file)) is not None:
@@ -143,8 +162,8 @@ def read_records(spark: SparkSession, folder: str, files: list[tuple[str, int, i
                 if rows:
                     yield _table(rows)
 
-    n = len(files)
-    return spark.range(0, n, 1, max(1, n)).mapInArrow(read, ROWS)
+    n = max(1, manifest.count())  # a task for each file
+    return in_order(manifest).select("file", "start").repartition(n).mapInArrow(read, ROWS)
 
 
 def _table(rows: list[tuple]) -> pa.RecordBatch:
@@ -168,6 +187,5 @@ def round_trip(docs: DataFrame, vocab: str | None = None, end_id: int = END_ID)
     One row per document row: doc_id, start (ids of all documents before it in doc_id order),
     n_tokens with the end id, ids_crc32. Edge cases as in write_records.
     """
-    spark = docs.sparkSession
-    folder = scratch(spark, "records")
-    return read_records(spark, folder, in_order(write_records(docs, folder, vocab, end_id)))
+    folder = scratch(docs.sparkSession, "records")
+    return read_records(write_records(docs, folder, vocab, end_id), folder)

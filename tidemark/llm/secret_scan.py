@@ -3,7 +3,9 @@
 A vocabulary of byte pairs learned from prose and code needs few tokens for words and names, and
 many for random strings. A run of 16 or more letters, digits and + / _ = - that has a letter and
 gives at most RATIO characters a token is held to be random, and so is a part of it between the
-signs. Known digests (hexadecimal of a digest's length), UUIDs and times are cut out before. An
+signs. A run whose parts have the form of words (letters of one case, or a capital before small ones)
+is held to be random only at WORD_RATIO, since long or foreign words give few characters a token
+too. Known digests (hexadecimal of a digest's length), UUIDs and times are cut out before. An
 identifier (parts of letters with digits at their ends only, such as field_name_2 or someName12)
 is none if its words alone give more characters a token. The ratio is of the whole run at any length.
 """
@@ -31,7 +33,7 @@ PATTERNS = {
 }
 LEAST = {"assign": 12, "access": 18, "hex": 16}
 DIGEST_LENGTHS = (32, 40, 48, 56, 64, 96, 128)
-RATIO = 2.2
+RATIO, WORD_RATIO = 2.2, 1.55
 
 _assign, _access = re.compile(PATTERNS["assign"], re.ASCII), re.compile(PATTERNS["access"])
 _hex = re.compile(r"[0-9a-f]{16,}")  # runs are whole, so only long ones count
@@ -47,6 +49,7 @@ _piece = re.compile(r"[A-Za-z0-9]{16,}")
 _letter = re.compile(r"[A-Za-z]")
 _part = re.compile(r"[0-9]*[A-Za-z]*[0-9]*")
 _camel = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+_word = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _encodings: dict[str, object] = {}
 
 Span = tuple[int, int, int]  # start, kind's place in KINDS, end
@@ -89,11 +92,15 @@ def _tokens(run: str, enc) -> int:
     return len(enc.encode_ordinary(run))
 
 
-def looks_random(run: str, enc, ratio: float) -> bool:
+def looks_random(run: str, enc, ratio: float, word_ratio: float = WORD_RATIO) -> bool:
     """Whether a run with letters gives few characters a token, and so do its words if it is an identifier."""
-    if not _letter.search(run) or len(run) > ratio * _tokens(run, enc):
+    if not _letter.search(run):
         return False
     parts = [p for p in re.split(r"[+/_=-]+", run) if p]
+    if all(_word.fullmatch(p) for p in parts):
+        ratio = min(ratio, word_ratio)
+    if len(run) > ratio * _tokens(run, enc):
+        return False
     if not all(_part.fullmatch(p) for p in parts):
         return True
     words = [w for p in parts for w in _camel.findall(p)]

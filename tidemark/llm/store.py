@@ -13,16 +13,16 @@ from pyspark.sql import functions as F
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder under spark.checkpoint.dir, which driver and executors share.
 
-    Where that setting is absent, a local session (tests) takes a folder of this machine, and a
-    cluster the warehouse.
+    Where that setting is absent, a session whose executors are threads of the driver (tests) takes
+    a folder of this machine. A cluster has no folder that is surely shared, and gets an error.
     """
     context = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if not base and re.match(r"local(\[|$)", context.master):
         context.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="tidemark-"))
         base = context.getCheckpointDir()
-    elif not base:
-        base = spark.conf.get("spark.sql.warehouse.dir") + "/_scratch"
+    if not base:
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
