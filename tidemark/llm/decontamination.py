@@ -4,10 +4,11 @@ Texts are compared as lower-cased words of letters, digits and anything beyond A
 benchmark item of n words, windows of n words are taken from each document. A window whose
 five-word shingles can't reach the similarity, because too few of them occur in any item, is
 passed over, which loses nothing. The others get a 64-bit SimHash, in which each occurrence of a
-shingle weighs one. Fingerprints are cut into RADIUS + 1 blocks: two that differ in at most RADIUS
-bits agree in a block at least, so blocks give all candidates within the radius. Candidates are
-verified by exact weighted similarity: the sum over shingles of the smaller number of occurrences
-over that of the larger.
+shingle weighs one. Fingerprints are cut into 4 blocks of 16 bits: of two that differ in at most 19
+bits, some block differs in at most 4, so probing the values near each block gives all candidates
+within the radius; few items are compared one by one, with the same result. Candidates are verified
+by exact weighted similarity: the sum over shingles of the smaller number of occurrences over that
+of the larger.
 """
 
 from __future__ import annotations
@@ -40,35 +41,55 @@ def _packed(sums: np.ndarray) -> np.ndarray:
     return np.packbits(sums > 0, axis=1).reshape(-1, 8)
 
 
-def near(windows: np.ndarray, items: np.ndarray, radius: int = RADIUS, few: int = 1 << 12, most: int = 1 << 20) -> np.ndarray:
-    """(window, item) pairs of fingerprints (rows of 8 bytes) that differ in at most radius bits.
+#: Fingerprints are cut into BLOCKS blocks of 16 bits. Two within RADIUS agree in one of them up to RADIUS // BLOCKS bits.
+BLOCKS = 4
+#: Items of one length up to which every pair is compared in parts; beyond, blocks are probed. The pairs are the same.
+DENSE = 1 << 14
 
-    For each of radius + 1 blocks of bits, items are sorted by its value and windows look theirs
-    up. Windows are taken in parts, so that a part has about `most` candidates a block at the most.
-    Up to `few` pairs, which cost less than the blocks, are all candidates; the pairs are the same.
+
+def probes(bits: int, width: int = 16) -> np.ndarray:
+    """All values of width bits with at most `bits` of them set."""
+    values = np.arange(1 << width, dtype=np.uint32)
+    return values[np.bitwise_count(values) <= bits]
+
+
+def candidates(w: np.ndarray, s: np.ndarray, radius: int = RADIUS, most: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(windows, items) that come near in a block, each pair once for each such block, in parts of bounded size.
+
+    Items stand in order of a block's value, with a table of where each value starts; a window looks
+    up the values near its own. A pair of random fingerprints is a candidate about 0.15 times.
     """
-    w, s = (np.ascontiguousarray(x).view(np.uint64).ravel() for x in (windows, items))
-    if len(w) * len(s) <= few:
-        return np.argwhere(np.bitwise_count(w[:, None] ^ s[None, :]) <= radius)
-    edges = np.linspace(0, 64, radius + 2).astype(np.uint64)
-    codes = []
-    for low, high in zip(edges[:-1], edges[1:], strict=True):
-        mask = (np.uint64(1) << (high - low)) - np.uint64(1)
-        of_items = (s >> low) & mask
+    near_values = probes(radius // BLOCKS)
+    for block in range(BLOCKS):
+        low = np.uint64(16 * block)
+        of_windows, of_items = (((x >> low) & np.uint64(0xFFFF)).astype(np.uint32) for x in (w, s))
         order = np.argsort(of_items, kind="stable")
-        codes.append(((w >> low) & mask, order, of_items[order]))
-    out = []
-    for low in range(0, len(w), step := max(1, most // len(s))):
-        rows = np.arange(low, min(low + step, len(w)))
-        found = []
-        for of_windows, order, ascending in codes:
-            first, last = (np.searchsorted(ascending, of_windows[rows], side=side) for side in ("left", "right"))
-            n = last - first
-            a, b = np.repeat(rows, n), order[np.arange(n.sum()) + np.repeat(first - np.concatenate([[0], np.cumsum(n)[:-1]]), n)]
-            close = np.bitwise_count(w[a] ^ s[b]) <= radius
-            found.append(a[close] * len(s) + b[close])
-        out.append(np.stack(np.divmod(np.unique(np.concatenate(found)), len(s)), axis=1))
-    return np.concatenate(out)
+        table = np.concatenate([[0], np.cumsum(np.bincount(of_items, minlength=1 << 16))])
+        step = max(1, most // max(len(near_values), len(s)))
+        for at in range(0, len(w), step):
+            looked = of_windows[at : at + step, None] ^ near_values[None, :]
+            first, n = table[looked].ravel(), (table[looked + 1] - table[looked]).ravel()
+            held = np.flatnonzero(n)
+            n, first = n[held], first[held]
+            place = np.arange(n.sum()) + np.repeat(first - (np.cumsum(n) - n), n)
+            yield np.repeat(at + held // len(near_values), n), order[place]
+
+
+def near(windows: np.ndarray, items: np.ndarray, radius: int = RADIUS, dense: int = DENSE, most: int = 1 << 20) -> np.ndarray:
+    """(window, item) pairs of fingerprints (rows of 8 bytes) that differ in at most radius bits, all of them, in order.
+
+    Up to `dense` items cost less to compare with every window than a window's probes do.
+    """
+    w, s = (np.ascontiguousarray(x).view(np.uint64).ravel() for x in (windows, items))
+    if len(s) <= dense:
+        step = max(1, most // max(1, len(s)))
+        out = [np.argwhere(np.bitwise_count(w[at : at + step, None] ^ s[None, :]) <= radius) + [at, 0] for at in range(0, len(w), step)]
+        return np.concatenate(out) if out else np.zeros((0, 2), dtype=np.int64)
+    found = [np.zeros(0, dtype=np.int64)]
+    for a, b in candidates(w, s, radius, most):
+        close = np.bitwise_count(w[a] ^ s[b]) <= radius
+        found.append(a[close] * len(s) + b[close])
+    return np.stack(np.divmod(np.unique(np.concatenate(found)), len(s)), axis=1)
 
 
 class Items:

@@ -41,7 +41,7 @@ FAMILIES = (
     ("artistic", r"artistic licen[cs]e", ("artistic",), ("1", "2")),
     ("afl", r"(?:afl|academic free licen[cs]e)", ("afl", "academic"), ("1 1", "2", "2 1", "3")),
     ("osl", r"(?:osl|open software licen[cs]e)", ("osl", "software"), ("1", "2", "2 1", "3")),
-    ("bsl", r"(?:bsl|boost software licen[cs]e)", ("bsl", "boost"), ("1",)),
+    ("boost", r"(?:bsl|boost software licen[cs]e)", ("bsl", "boost"), ("1",)),
     ("zpl", r"(?:zpl|zope public licen[cs]e)", ("zpl", "zope"), ("1 1", "2", "2 1")),
     ("ofl", r"(?:sil )?(?:ofl|open font licen[cs]e)", ("ofl", "font"), ("1", "1 1")),
     ("odbl", r"(?:odbl|open database licen[cs]e)", ("odbl", "database"), ("1",)),
@@ -56,7 +56,7 @@ FAMILIES = (
     ("bsd-3-clause", r"(?:bsd 3 clause|(?:new|modified|revised) bsd|3 clause bsd)", ("bsd",), ("",)),
     ("bsd-4-clause", r"(?:bsd 4 clause|original bsd|4 clause bsd)", ("bsd",), ("",)),
     ("bsd", r"bsd(?: style)?", ("bsd",), ("",)),
-    ("python", r"python software foundation", ("python",), ("", "2")),
+    ("psf", r"python software foundation", ("python",), ("", "2")),
     ("ruby", r"ruby", ("ruby",), ("",)),
 )
 CC_PARTS = ("by", "by sa", "by nc", "by nd", "by nc sa", "by nc nd", "by sa nc", "sa", "nc", "nd")
@@ -69,6 +69,8 @@ TEMPLATES = (
     (2, 0.8, r"{name} licen[cs]es?{v}"),
 )
 VERSIONED = (1, 0.6, r"{name}{v}")
+
+
 @dataclass(frozen=True)
 class Rule:
     label: str
@@ -118,6 +120,16 @@ def rules() -> tuple[Rule, ...]:
     return tuple(sorted(out.values(), key=lambda r: -r.priority))
 
 
+@cache
+def by_keyword() -> dict[str, list[int]]:
+    """The rules of each keyword, by their place among all."""
+    out: dict[str, list[int]] = {}
+    for i, r in enumerate(rules()):
+        for k in r.keywords:
+            out.setdefault(k, []).append(i)
+    return out
+
+
 BASE_CONFIDENCE = 0.9
 
 
@@ -136,7 +148,8 @@ def base_places(text: str) -> list[tuple[int, int, str]]:
 
 def detect(text: str, words: set[str]) -> list[tuple[int, int, str, float]]:
     """(start, end, label, confidence) in code points of what no better detection contains."""
-    found = [(-r.priority, m.start() - m.end(), m.start(), m.end(), r.label, r.confidence) for r in rules() if not r.keywords.isdisjoint(words) for m in r.regex.finditer(text)]
+    asked = sorted({i for w in words & by_keyword().keys() for i in by_keyword()[w]})
+    found = [(-r.priority, m.start() - m.end(), m.start(), m.end(), r.label, r.confidence) for r in map(rules().__getitem__, asked) for m in r.regex.finditer(text)]
     kept: list[tuple[int, int, str, float]] = []
     starts, ends = [], []  # accepted intervals that none contains: both ascend
     for _, _, s, e, label, confidence in sorted(found):
