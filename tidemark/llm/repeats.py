@@ -26,7 +26,7 @@ from tidemark.llm.words import _power, blocks, mixed, released, whole_texts
 
 LENGTH, GRAM = 100, 20
 #: Pieces of an anchor beyond which they are cut into windows; bytes that one index holds, about; rows gathered before copies within a task are taken out.
-MANY, INDEXED, GATHERED = 4096, 1 << 22, 1 << 20
+MANY, INDEXED, GATHERED = 4096, 1 << 21, 1 << 19
 #: A place in a text, in one long: 24 bits of the text's checksum, offset (31), windows (7).
 TIE, OFFSET, COUNT = 38, 7, 127
 ROWS = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
@@ -128,7 +128,7 @@ def judged(rows: DataFrame, many: int) -> DataFrame:
     met = rows.withColumn("n", F.count(F.lit(1)).over(by_anchor)).withColumn("differ", F.min("piece").over(by_anchor) != F.max("piece").over(by_anchor)).where((F.col("n") > 1) | F.col("sure"))
     first = F.min(F.struct("doc", "at")).over(by_piece)
     kind = F.when(F.col("sure") | (F.struct("doc", "at") > F.col("first")), "whole").when(~F.col("differ"), "one").when(F.col("n") > many, "many").otherwise("some")
-    return met.withColumn("first", first).withColumn("kind", kind).where(F.col("kind") != "one").select("anchor", "doc", "at", "kind")
+    return met.withColumn("first", first).withColumn("kind", kind).where(F.col("kind") != "one").select(F.when(F.col("kind") != "whole", F.col("anchor")).alias("anchor"), "doc", "at", "kind")
 
 
 def _asked(found: DataFrame, texts: DataFrame, kind: str) -> DataFrame:
@@ -278,7 +278,7 @@ def repeat_marks(texts: DataFrame, folder: str, many: int = MANY, indexed: int =
     shared = asked.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_indexer(indexed), "doc long, at long")
     single = judged(_asked(found, texts, "many").mapInArrow(_window_cutter(gathered), PIECES), many)
     whole = [x.where(F.col("kind") == "whole").select("doc", "at") for x in (found, single)]
-    return saved(whole[0].unionByName(whole[1]).unionByName(shared), folder, "marks")
+    return whole[0].unionByName(saved(shared.unionByName(whole[1]), folder, "marks"))
 
 
 def without_repeats(docs: DataFrame, many: int = MANY, indexed: int = INDEXED, gathered: int = GATHERED) -> DataFrame:
