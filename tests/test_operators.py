@@ -7,36 +7,11 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import scalars as S
 from tidemark.operators import aggregates, gate, windows
-from tidemark.operators.assignment import assigned, best_assignment
 from tidemark.sources import sinks
 from tidemark.sources.tables import nan_to_null, optional, overlaid
 from tidemark.streaming import events as streaming
 
 
-def test_assignment_is_the_best_of_all():
-    draw = np.random.default_rng(3)
-    for _ in range(60):
-        slots, people = draw.integers(1, 4), draw.integers(1, 6)
-        gain = np.where(draw.random((slots, people)) < 0.3, -np.inf, draw.random((slots, people)) + 10)
-        best = 0.0
-        for picks in itertools.product(range(-1, people), repeat=int(slots)):
-            used = [p for p in picks if p >= 0]
-            if len(used) == len(set(used)):
-                best = max(best, sum(gain[i, p] for i, p in enumerate(picks) if p >= 0))
-        got = best_assignment(gain)
-        used = [p for p in got if p >= 0]
-        assert len(used) == len(set(used))
-        assert sum(gain[i, p] for i, p in enumerate(got) if p >= 0) == pytest.approx(best)
-
-
-def test_assigned_leaves_out_slots_that_nobody_fits(spark):
-    pool = spark.createDataFrame([(1, 10, "A", 5.0), (1, 11, "A", 7.0), (1, 12, "B", None), (2, 13, "B", -3.0)], "g int, id long, kind string, score double")
-    out = assigned(pool, "g", "id", "kind", "score", {"a": ["A"], "any": ["A", "B"], "c": ["C"]}, "g int, slot string, id long, score double")
-    rows = out.collect()
-    assert {(r.g, r.id) for r in rows} == {(1, 10), (1, 11), (2, 13)}
-    assert not any(r.slot == "c" for r in rows)
-
-
 def test_gate_hides_the_cutoff_itself(spark):
     at = datetime(2024, 1, 10)
     targets = spark.createDataFrame([(1, "x", at), (2, "y", at)], "t int, k string, cutoff timestamp")
@@ -93,13 +68,6 @@ def test_rank_of_all_is_the_rank_of_one_window(spark):
     assert windows.rank_of_all(df.limit(0), "v", "place").count() == 0
 
 
-def test_assigned_uses_the_best_few_of_a_kind(spark):
-    rows = [(1, i, "AB"[i % 2], float(i * 37 % 101)) for i in range(100)]
-    out = assigned(spark.createDataFrame(rows, "g int, id long, kind string, score double"), "g", "id", "kind", "score", {"a": ["A"], "b": ["B"], "any": ["A", "B"]}, "g int, slot string, id long, score double")
-    best = {k: sorted((s for *_, kind, s in rows if kind == k), reverse=True) for k in "AB"}
-    assert sum(r.score for r in out.collect()) == best["A"][0] + best["B"][0] + max(best["A"][1], best["B"][1])
-
-
 def test_simplex_and_least_squares(spark):
     df = spark.range(200).select(F.col("id").cast("double").alias("a"), (F.col("id") * 3 + 1).cast("double").alias("b")).withColumn("y", 0.25 * F.col("a") + 0.75 * F.col("b"))
     assert aggregates.simplex_weights(df, ["a", "b"], "y") == pytest.approx([0.25, 0.75])

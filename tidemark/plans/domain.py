@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import scalars as S
-from tidemark.operators import aggregates, assignment, windows
+from tidemark.operators import aggregates, windows
 from tidemark.plans.registry import query
 from tidemark.sources.tables import table
 
@@ -208,14 +208,6 @@ def r24_classifier(spark: SparkSession, d: str) -> DataFrame:
     return c.select("c_custkey", F.coalesce(F.get(reasons, F.lit(0)), F.lit("none")).alias("primary_reason"), F.get(reasons, F.lit(1)).alias("secondary_reason"))
 
 
-@query()
-def b01_assignment(spark: SparkSession, d: str) -> DataFrame:
-    """Each supplier nation's best line-up of four slots; slots take ranges of balances by key."""
-    pool = table(spark, d, "supplier").withColumn("kind", F.element_at(F.array(F.lit("A"), F.lit("B"), F.lit("C")), (F.col("s_suppkey") % 3 + 1).cast("int")))
-    slots = {"first": ["A"], "second": ["B"], "third": ["C"], "flex": ["A", "B", "C"]}
-    return assignment.assigned(pool, "s_nationkey", "s_suppkey", "kind", "s_acctbal", slots, "s_nationkey int, slot string, s_suppkey long, s_acctbal double")
-
-
 def _predictions(spark: SparkSession, d: str) -> DataFrame:
     past, near = (windows.before(["user_id"], [F.col("ts"), F.col("event_id")], n) for n in (None, 3))
     rows = table(spark, d, "events").select("event_type", "ts", "value", F.avg("value").over(past).alias("a"), F.avg("value").over(near).alias("b"))
