@@ -12,7 +12,7 @@ from tidemark.sources.tables import table
 FOUR = {"first": ["A"], "second": ["B"], "third": ["C"], "flex": ["A", "B", "C"]}
 THREE = {"first": ["A"], "second": ["B", "C"], "flex": ["A", "B", "C"]}
 #: The instants of the record's runs; a supplier starts with its first line of 50 pieces.
-RUNS = ("1992-04-01", "1992-06-01", "1992-08-01")
+RUNS = ("1995-03-01", "1995-06-01", "1995-10-01")
 
 _POOL = """select s_nationkey as g, s_suppkey as id, ['A', 'B', 'C'][s_suppkey % 3 + 1] as kind, cast(round(s_acctbal * 100) as bigint) as score from supplier"""
 
