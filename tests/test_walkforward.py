@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.functions import candidates
 from tidemark.operators import walkforward
 
 ROWS = "k string, t int, x double, m double, y double, i int"
@@ -78,3 +79,47 @@ def test_search_finds_what_the_whole_grid_finds(spark):
     assert judged[0].trial == min(trials, key=errors.get) and judged[0].error == pytest.approx(errors[judged[0].trial])
     assert len(judged) == 60 and [sum(j.turn == k for j in judged) for k in (1, 2, 3)] == [30, 15, 15]
     assert walkforward.halving(df.limit(0), columns, held, trials[:2], F.col("i"))[0].error == float("inf")
+
+
+FAMILIES = {"role": ["rank", "share"], "history": ["n", "mean"]}
+
+
+@pytest.mark.parametrize(
+    ("text", "columns"),
+    [("+family:role", ["n", "x", "rank", "share"]), ("-family:history", ["x"]), ("+cols: share, n", ["n", "x", "share"]), ("-cols:n", ["x"]), ("recent:4", ["n", "x"]), ("param:penalty=5", ["n", "x"])],
+)
+def test_candidates_change_columns(text, columns):
+    assert candidates.parsed(text, FAMILIES, ("penalty",)).applied(["n", "x"]) == columns
+
+
+@pytest.mark.parametrize("text", ["", "recent", "recent:", "recent:0", "recent:2x0", "recent:two", "+family:nope", "+cols:n,nope", "-cols:nope", "param:depth=3", "param:penalty", "param:penalty=much", "grow:3", "+family role"])
+def test_wrong_candidates_are_named(text):
+    with pytest.raises(ValueError, match=repr(text).replace("+", r"\+")):
+        candidates.parsed(text, FAMILIES, ("penalty",))
+
+
+def test_weights_of_recent_periods(spark):
+    df = spark.range(1, 7).withColumn("w", candidates.parsed("recent:2x3.5", {}).weight(F.col("id"), F.lit(6)))
+    assert [r.w for r in df.orderBy("id").collect()] == [1.0] * 4 + [3.5] * 2
+    assert candidates.parsed("recent:3", {}).factor == candidates.RECENT and candidates.parsed("param:k=2", {}, ("k",)).value("k", 9) == 2 and candidates.parsed("param:k=2", {}, ("k",)).value("j", 9) == 9
+
+
+def test_weekly_errors_and_verdicts(spark):
+    draw = np.random.default_rng(7)
+    week, a, b = draw.integers(1, 6, 500), draw.normal(size=500), draw.normal(size=500)
+    y = 2 * a + 3 * b + draw.normal(size=500) * 0.1
+    df = spark.createDataFrame([(int(w), float(p), float(q), float(v)) for w, p, q, v in zip(week, a, b, y, strict=True)], "week int, a double, b double, y double")
+    weight = candidates.parsed("recent:2x3", {}).weight(F.col("p"), F.col("t") - 1)
+    tried = [walkforward.Variant("primary", ["a"], F.lit(1.0), 0.0), walkforward.Variant("+cols:b", ["a", "b"], F.lit(1.0), 0.0), walkforward.Variant("recent:2x3", ["a"], weight, 5.0), walkforward.Variant("param", ["a"], F.lit(1.0), 1e6)]
+    errors = walkforward.weekly_errors(df, tried, "y", "week", [1, 3, 5])
+    got = {(r.name, r.period): (r.n, r.error) for r in errors.collect()}
+    for name, cols, w_of, penalty in (("primary", [a], lambda p, t: 1.0, 0.0), ("+cols:b", [a, b], lambda p, t: 1.0, 0.0), ("recent:2x3", [a], lambda p, t: np.where(p > t - 3, 3.0, 1.0), 5.0)):
+        assert (name, 1) not in got
+        for t in (3, 5):
+            x, past, now = np.stack([np.ones(500), *cols], axis=1), week < t, week == t
+            w = np.broadcast_to(w_of(week[past], t), past.sum())
+            left = (x[past] * w[:, None]).T @ x[past] + penalty * np.diag([0.0] + [1.0] * len(cols))
+            c = np.linalg.solve(left, (x[past] * w[:, None]).T @ y[past])
+            assert got[name, t] == (now.sum(), pytest.approx(((y[now] - x[now] @ c) ** 2).mean()))
+    verdict = {r.name: r.verdict for r in walkforward.verdicts(errors, "primary").collect()}
+    assert verdict["+cols:b"] == "adopt" and verdict["param"] == "reject"

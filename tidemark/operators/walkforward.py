@@ -108,3 +108,62 @@ def halving(rows: DataFrame, columns: list[Column], held: Column, trials: list[T
         out += judged[stay:]
         left = [j.trial for j in judged[:stay]]
     return [*judged, *sorted(out, key=lambda j: (-j.turn, j.error))]
+
+
+@dataclass(frozen=True)
+class Variant:
+    """A ridge model to be tried: its columns, each row's weight, and the penalty."""
+
+    name: str
+    columns: list[str]
+    weight: Column
+    penalty: float
+
+
+def weekly_errors(rows: DataFrame, variants: list[Variant], y: str, period: str, periods: list[int]) -> DataFrame:
+    """name, period, n and mean squared error of every variant in every period, fitted on earlier periods alone.
+
+    rows: y, the period (whole numbers) and all columns; NULLs count as 0 in columns, and rows
+    without y are left out. periods is a short, stated list. One aggregate by period gives the sums
+    of products of all variants' columns, from which every fit and every error follows; they reach
+    the driver, periods times columns squared.
+    """
+    spark = rows.sparkSession
+    names = [*dict.fromkeys(c for v in variants for c in v.columns), y]
+    named = rows.where(F.col(y).isNotNull()).select(F.col(period).cast("int").alias("p"), F.lit(1.0).alias("c0"), *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(f"c{i + 1}") for i, c in enumerate(names)])
+    k = len(names) + 1
+    i, j = np.triu_indices(k)
+    found = named.groupBy("p").agg(F.array(*[F.sum(F.col(f"c{a}") * F.col(f"c{b}")) for a, b in zip(i.tolist(), j.tolist(), strict=True)]).alias("s")).collect()
+    sums = {}
+    for r in found:
+        full = np.zeros((k, k))
+        full[i, j] = full[j, i] = r.s
+        sums[r.p] = full
+    pairs = [(p, t) for t in periods for p in sums if p < t and t in sums]
+    at = spark.createDataFrame(pairs or [(None, None)], "p int, t int").select("p", "t", F.array(*[v.weight.cast("double") for v in variants]).alias("w"))
+    weights = {(r.p, r.t): r.w for r in at.collect()}
+    out = []
+    for n, v in enumerate(variants):
+        use = [0, *[names.index(c) + 1 for c in v.columns], k - 1]
+        for t in periods:
+            past = [p for p in sums if p < t]
+            if t in sums and past:
+                taught = sum(weights[p, t][n] * sums[p][np.ix_(use, use)] for p in past)
+                own = sums[t][np.ix_(use, use)]
+                out.append((v.name, t, int(own[0, 0]), squared_error(own, solved(taught, Trial(tuple(range(len(v.columns))), v.penalty)))))
+    return spark.createDataFrame(out, "name string, period int, n long, error double")
+
+
+def verdicts(errors: DataFrame, primary: str, least_gain: float = 0.0, least_wins: float = 0.5) -> DataFrame:
+    """One row a variant: mean gain in error over the primary, its standard error over periods, the share of periods won, and the verdict.
+
+    A variant is adopted if its mean gain exceeds least_gain and two standard errors, and it wins in
+    more than least_wins of the periods; it is rejected if its mean gain is below minus two standard
+    errors, and open otherwise.
+    """
+    base = errors.where(F.col("name") == primary).select("period", F.col("error").alias("base"))
+    gains = errors.where(F.col("name") != primary).join(base, "period").withColumn("gain", F.col("base") - F.col("error"))
+    out = gains.groupBy("name").agg(F.count(F.lit(1)).alias("periods"), F.avg("gain").alias("gain"), (F.stddev_samp("gain") / F.sqrt(F.count(F.lit(1)))).alias("se"), F.avg((F.col("gain") > 0).cast("int")).alias("won"))
+    se = 2 * F.coalesce("se", F.lit(0.0))
+    verdict = F.when((F.col("gain") > F.greatest(F.lit(least_gain), se)) & (F.col("won") > least_wins), "adopt").when(F.col("gain") < -se, "reject").otherwise("open")
+    return out.withColumn("verdict", verdict)

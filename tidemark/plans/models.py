@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions import candidates
 from tidemark.operators import trees, walkforward
+from tidemark.plans import matrix
 from tidemark.plans.registry import query
 from tidemark.sources.tables import table
 
@@ -98,3 +100,22 @@ def y03_search(spark: SparkSession, d: str) -> DataFrame:
     judged = walkforward.halving(rows, [*map(F.col, NAMES), F.col("l_extendedprice")], F.year("l_shipdate") >= 2000, trials, F.col("l_orderkey"))
     out = [(",".join(NAMES[i] for i in j.trial.columns), j.trial.penalty, j.turn, j.error, k == 0) for k, j in enumerate(judged)]
     return spark.createDataFrame(out, "columns string, penalty double, turn int, mean_squared_error double, winner boolean")
+
+
+#: What is tried against the primary, which has the history, calendar and efficiency families.
+CANDIDATES = ("recent:2", "recent:3x4", "+family:role", "+family:ratings", "-family:calendar", "+cols:share3,vacated", "param:penalty=1000")
+PRIMARY = ("history", "calendar", "efficiency")
+
+
+@query()
+def y10_trials(spark: SparkSession, d: str) -> DataFrame:
+    """Candidates of one line each, tried week by week on the matrix against the primary: gain, standard error, weeks won, and the verdict."""
+    rows = table(spark, d, "events")
+    rows = matrix.matrix_of(rows).withColumn("week", F.floor((F.col("season_day") + 7) / 7).cast("int"))
+    primary = matrix.columns_of(list(PRIMARY))
+    week, target = F.col("p"), F.col("t")
+    tried = [walkforward.Variant("primary", primary, F.lit(1.0), 1.0)]
+    for text in CANDIDATES:
+        c = candidates.parsed(text, matrix.FEATURES, ("penalty",))
+        tried.append(walkforward.Variant(text, c.applied(primary), c.weight(week, target - 1), c.value("penalty", 1.0)))
+    return walkforward.verdicts(walkforward.weekly_errors(rows, tried, "y", "week", [2, 3, 4, 5]), "primary")

@@ -224,16 +224,25 @@ def m12_play_probability(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""
-with old as (select o_custkey, month(o_orderdate) as week, count(*) as n from orders where year(o_orderdate) = 1997 group by all), new as (select o_custkey, month(o_orderdate) as week, count(*) as n from orders where year(o_orderdate) = 1998 and month(o_orderdate) <= 6 group by all)
-select o_custkey, week, n from new union all select o_custkey, week, n from old where not exists (select 1 from new where new.o_custkey = old.o_custkey and new.week = old.week)
+with o as (select year(o_orderdate) as season, o_custkey, month(o_orderdate) as week, count(*) as n from orders where year(o_orderdate) > 1995 or month(o_orderdate) <= 6 group by all),
+old as (select season + 1 as season, o_custkey, week, n from o), w as (select distinct season, week from o), c as (select a.season, count(n.week) = count(*) as complete from (select distinct season from w) a join w b on b.season + 1 = a.season left join w n on n.season = a.season and n.week = b.week group by all)
+select season, o_custkey, week, n, true as fresh from o where season in (select season from c)
+union all select old.season, o_custkey, week, n, false from old join c on c.season = old.season where not c.complete and not exists (select 1 from o where o.season = old.season and o.o_custkey = old.o_custkey and o.week = old.week)
 """)
 def k03_guarded_snapshot(spark: SparkSession, d: str) -> DataFrame:
-    """A fetch that lacks weeks of the snapshot isn't complete, so it is merged by key instead of replacing it."""
-    orders = table(spark, d, "orders")
-    of = lambda year: orders.where(F.year("o_orderdate") == year).groupBy("o_custkey", F.month("o_orderdate").alias("week")).agg(F.count(F.lit(1)).alias("n"))
-    old, new = of(1997), of(1998).where("week <= 6")
-    complete = not old.select("week").distinct().join(new.select("week").distinct(), "week", "left_anti").limit(1).count()
-    return new if complete else new.unionByName(old.join(new, ["o_custkey", "week"], "left_anti"))
+    """Each season's fetch against the snapshot of the season before: a whole one replaces it, one that lacks weeks is merged by key.
+
+    A fetch is whole if it has every week of the snapshot; the first season's was cut off at its sixth
+    week, so the next one is whole, as are all that lack none. fresh marks rows of the fetch.
+    """
+    orders = table(spark, d, "orders").where((F.col("o_orderdate") >= F.lit("1996-01-01").cast("timestamp_ntz")) | (F.month("o_orderdate") <= 6))
+    fetch = orders.groupBy(F.year("o_orderdate").alias("season"), "o_custkey", F.month("o_orderdate").alias("week")).agg(F.count(F.lit(1)).alias("n"))
+    weeks = fetch.groupBy("season").agg(F.collect_set("week").alias("weeks"))
+    before = weeks.select((F.col("season") + 1).alias("season"), F.col("weeks").alias("had"))
+    whole = weeks.join(before, "season").select("season", (F.size(F.array_except("had", "weeks")) == 0).alias("whole"))
+    snapshot = fetch.withColumn("season", F.col("season") + 1)
+    kept = snapshot.join(whole.where("NOT whole").select("season"), "season").join(fetch, ["season", "o_custkey", "week"], "left_anti")
+    return fetch.join(whole.select("season"), "season", "left_semi").withColumn("fresh", F.lit(True)).unionByName(kept.withColumn("fresh", F.lit(False)))
 
 
 @query("""
@@ -310,7 +319,7 @@ def t04_backfilled(spark: SparkSession, d: str) -> DataFrame:
     week = F.floor(F.date_diff(F.to_date("ts"), F.lit("2024-01-01").cast("date")) / 7)
     rows = table(spark, d, "events").select("user_id", week.alias("week"), (F.col("event_type") == "purchase").alias("has"))
     have = rows.groupBy("user_id", "week").agg(F.max("has").alias("has"))
-    low, high = rows.agg(F.min("week"), F.max("week")).first()
-    grid = have.select("user_id").distinct().select("user_id", F.explode(F.sequence(F.lit(low), F.lit(high))).alias("week"))
+    low, high = rows.agg(F.min("week")).scalar(), rows.agg(F.max("week")).scalar()
+    grid = have.select("user_id").distinct().select("user_id", F.explode(F.sequence(low, high)).alias("week"))
     full = grid.join(have.where("has"), ["user_id", "week"], "left").withColumn("filled_from", F.max(F.when(F.col("has"), F.col("week"))).over(Window.partitionBy("user_id").orderBy("week")))
     return full.where("has IS NULL").select("user_id", "week", "filled_from")
