@@ -103,7 +103,7 @@ def test_sources(spark, tmp_path):
 
 
 def test_stream_upsert_is_idempotent(spark, tmp_path):
-    rows = spark.createDataFrame([(1, datetime(2024, 1, 1), 5), (2, datetime(2024, 1, 2), 6)], "id int, ts timestamp, v int")
+    rows = spark.createDataFrame([(1, datetime(2024, 1, 1), 5), (2, datetime(2024, 1, 2), 6), (2, datetime(2024, 1, 1), 1)], "id int, ts timestamp, v int")
     rows.write.parquet(f"{tmp_path}/in")
     for turn in range(2):
         s = streaming.stream(spark, f"{tmp_path}/in", rows.schema)
@@ -120,16 +120,3 @@ def test_stream_windows_drop_late_rows(spark, tmp_path):
         counts.writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start().awaitTermination()
     out = spark.read.parquet(f"{tmp_path}/out").collect()
     assert [(r.start, r.n) for r in out] == [(datetime(2024, 1, 1), 1)]
-
-
-def test_stream_freezes_at_the_start(spark, tmp_path):
-    start = datetime(2024, 1, 5)
-    schema = "k string, ts timestamp, starts timestamp, v double"
-    batches = [[("a", datetime(2024, 1, 1), start, 1.0)], [("a", datetime(2024, 1, 4), start, 2.0), ("a", datetime(2024, 1, 6), start, 9.0)], [("b", datetime(2024, 1, 20), datetime(2024, 2, 1), 3.0)], [("b", datetime(2024, 1, 21), datetime(2024, 2, 1), 3.0)]]
-    for rows in batches:
-        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
-        s = streaming.stream(spark, f"{tmp_path}/in", spark.createDataFrame([], schema).schema)
-        out = streaming.frozen(s, "k", "starts", "v", "0 seconds")
-        out.writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start().awaitTermination()
-    got = spark.read.parquet(f"{tmp_path}/out").collect()
-    assert [(r.k, r.starts, r.v) for r in got] == [("a", start, 2.0)]

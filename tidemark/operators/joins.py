@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.windows import latest
@@ -27,10 +27,22 @@ def cascade(df: DataFrame, lookups: list[tuple[str, DataFrame]], value: str) ->
     return df.withColumn(value, F.coalesce(*found)).drop(*[f"_v{i}" for i in range(len(lookups))])
 
 
-def nearest(df: DataFrame, rows: DataFrame, cond: Column, row_id: list[str], distance: Column, most: Column, tie: list[Column]) -> DataFrame:
-    """Each row of df with the closest row within a distance; cond should hold an equality."""
-    near = df.join(rows, cond).withColumn("_d", distance).where(F.col("_d") <= most)
-    return latest(near, row_id, [F.col("_d").asc(), *tie]).drop("_d")
+def nearest(df: DataFrame, rows: DataFrame, key: str, time: str, id_: str, most: int) -> DataFrame:
+    """Each row of df with the row of its key that is closest in time, within `most`: adds id_ and gap.
+
+    time is a whole number on both sides; of rows as close the smallest id_ counts, and df's rows
+    without one are left out. Both sides lie in one stream by key and time, in which the nearest row
+    is the last one before or the first one after, so nothing is paired.
+    """
+    near = rows.groupBy(key, time).agg(F.min(id_).alias("_id"))  # of one instant the smallest id
+    left = df.select(key, time, F.struct("*").alias("_t"))
+    both = left.unionByName(near.select(key, time, F.struct(time, "_id").alias("_row")), allowMissingColumns=True)
+    w, past = Window.partitionBy(key), (Window.unboundedPreceding, 0)
+    back = F.last("_row", ignorenulls=True).over(w.orderBy(time).rangeBetween(*past))
+    ahead = F.last("_row", ignorenulls=True).over(w.orderBy(F.col(time).desc()).rangeBetween(*past))  # seen from the end
+    gap = lambda c: F.when(F.col(c).isNotNull(), F.struct(F.abs(F.col(f"{c}.{time}") - F.col(time)).alias("gap"), F.col(f"{c}._id").alias(id_)))
+    seen = both.withColumns({"_back": back, "_ahead": ahead}).where("_t IS NOT NULL").withColumn("_best", F.least(gap("_back"), gap("_ahead")))
+    return seen.where(F.col("_best.gap") <= most).select("_t.*", f"_best.{id_}", "_best.gap")
 
 
 def step_value(x: Column, steps: list[tuple[float, float]], beyond: float) -> Column:

@@ -121,13 +121,15 @@ from orders t left join orders p on p.o_custkey = t.o_custkey and p.o_orderdate
 where t.o_orderdate >= timestamp '1995-01-01' and t.o_orderdate < timestamp '1995-07-01' group by t.o_orderkey
 """)
 def y12_truncation(spark: SparkSession, d: str) -> DataFrame:
-    """Gated sums built from physically truncated input, which must equal those from all of it."""
-    targets, past = _orders(spark, d)
+    """Gated sums built from physically truncated input, which must equal those from all of it.
+
+    Running windows that end a microsecond before each order, so a customer's orders aren't paired.
+    """
     low, high = (F.expr(f"TIMESTAMP_NTZ '{x}'") for x in ("1995-01-01", "1995-07-01"))
-    cut = gate.truncated(past, "known_at", high)
-    wanted = targets.where((F.col("cutoff") >= low) & (F.col("cutoff") < high))
-    sums = [F.count("p_key").alias("n_before"), F.coalesce(F.sum("p_total").cast("double"), F.lit(0.0)).alias("spent_before")]
-    return gate.history(wanted, cut, ["o_custkey"], "cutoff", "known_at", sums, ["o_orderkey"])
+    cut = gate.truncated(table(spark, d, "orders"), "o_orderdate", high)
+    before = Window.partitionBy("o_custkey").orderBy(micros(F.col("o_orderdate"))).rangeBetween(Window.unboundedPreceding, -1)
+    sums = F.count("o_orderkey").over(before), F.coalesce(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).over(before).cast("double"), F.lit(0.0))
+    return cut.select("o_orderkey", "o_orderdate", sums[0].alias("n_before"), sums[1].alias("spent_before")).where(F.col("o_orderdate") >= low).drop("o_orderdate")
 
 
 @query("""

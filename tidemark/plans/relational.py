@@ -138,9 +138,8 @@ def j18_nearest(spark: SparkSession, d: str) -> DataFrame:
     """Each purchase with the user's click closest in time, within a day."""
     events = table(spark, d, "events")
     p = events.where("event_type = 'purchase'").select("event_id", "user_id", S.micros(F.col("ts")).alias("t"))
-    c = events.where("event_type = 'click'").select(F.col("event_id").alias("near_id"), F.col("user_id").alias("u"), S.micros(F.col("ts")).alias("s"))
-    found = joins.nearest(p, c, F.col("user_id") == F.col("u"), ["event_id"], F.abs(F.col("t") - F.col("s")), F.lit(86400 * 10**6), [F.col("near_id")])
-    return found.select("event_id", "near_id", F.abs(F.col("t") - F.col("s")).alias("gap"))
+    c = events.where("event_type = 'click'").select(F.col("event_id").alias("near_id"), "user_id", S.micros(F.col("ts")).alias("t"))
+    return joins.nearest(p, c, "user_id", "t", "near_id", 86400 * 10**6).select("event_id", "near_id", "gap")
 
 
 @query("""
@@ -223,9 +222,12 @@ def a07_zero_filled(spark: SparkSession, d: str) -> DataFrame:
 
 @query("select event_type, round(stddev_pop(value), 6) as sd_pop, round(stddev_samp(value), 6) as sd_samp, round(quantile_cont(value, 0.1), 6) as p10, round(median(value), 6) as p50, round(quantile_cont(value, 0.9), 6) as p90 from events group by event_type")
 def a09_spread(spark: SparkSession, d: str) -> DataFrame:
-    """Standard deviations and exact quantiles (also A10)."""
-    q = lambda p: F.round(F.percentile("value", p), 6)
-    return table(spark, d, "events").groupBy("event_type").agg(F.round(F.stddev_pop("value"), 6).alias("sd_pop"), F.round(F.stddev_samp("value"), 6).alias("sd_samp"), q(0.1).alias("p10"), q(0.5).alias("p50"), q(0.9).alias("p90"))
+    """Standard deviations and exact quantiles (also A10); quantiles are taken over counts by value, so a group's rows are never in one buffer."""
+    e = table(spark, d, "events")
+    q = lambda p: F.round(F.percentile("value", p, F.col("times")), 6)
+    quantiles = e.where("value IS NOT NULL").groupBy("event_type", "value").agg(F.count(F.lit(1)).alias("times")).groupBy("event_type").agg(q(0.1).alias("p10"), q(0.5).alias("p50"), q(0.9).alias("p90"))
+    spread = e.groupBy("event_type").agg(F.round(F.stddev_pop("value"), 6).alias("sd_pop"), F.round(F.stddev_samp("value"), 6).alias("sd_samp"))
+    return spread.join(quantiles, "event_type", "left").select("event_type", "sd_pop", "sd_samp", "p10", "p50", "p90")
 
 
 @query("select user_id, round(regr_slope(value, i), 6) + 0.0 as slope from (select user_id, value, row_number() over (partition by user_id order by ts, event_id) as i from events) group by user_id")

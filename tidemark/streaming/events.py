@@ -1,15 +1,13 @@
-"""Windowed counts with a watermark, idempotent batch writes, and rows that freeze at their event time."""
+"""Windowed counts with a watermark, and idempotent batch writes; keyed.py has rows that freeze and as-of joins."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from tidemark.operators.windows import latest
 from tidemark.sources.sinks import Versioned
 
 
@@ -24,38 +22,11 @@ def tumbling(rows: DataFrame, keys: list[str], size: str, late: str, time: str =
     return counted.select(F.col("window.start").alias("start"), *keys, "n")
 
 
-def upserting(rows: DataFrame, table: str, keys: list[str], checkpoint: str) -> StreamingQuery:
-    """Take each batch into a versioned table by key; a batch that runs again changes nothing."""
+def upserting(rows: DataFrame, table: str, keys: list[str], checkpoint: str, time: str = "ts") -> StreamingQuery:
+    """Take each batch into a versioned table by key, of a key's rows in a batch the newest; a batch that runs again changes nothing."""
 
     def take(batch: DataFrame, number: int) -> None:
-        Versioned(batch.sparkSession, table).upsert(batch.dropDuplicates(keys), keys)
+        newest = latest(batch, keys, [F.col(time).desc_nulls_last(), F.xxhash64(*batch.columns)])
+        Versioned(batch.sparkSession, table).upsert(newest, keys)
 
     return rows.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-
-
-def frozen(rows: DataFrame, key: str, starts: str, value: str, late: str) -> DataFrame:
-    """key, starts and value as they were last seen before the event started, once the watermark has passed its start.
-
-    rows: key, ts (when a row became known), starts, value. The state of a key is one row, and it
-    is dropped when it is emitted.
-    """
-
-    def hold(k: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            known, begin, held = state.get
-            state.remove()
-            if known >= 0:
-                yield pd.DataFrame({key: [k[0]], starts: [pd.Timestamp(begin, unit="us")], value: [held]})
-            return
-        known, begin, held = state.get if state.exists else (-1, -1, None)
-        for batch in batches:
-            for t, s, v in zip(batch["ts"], batch[starts], batch[value], strict=True):
-                begin = s.value // 1000
-                if t < s and t.value // 1000 >= known:
-                    known, held = t.value // 1000, v
-        state.update((known, begin, held))
-        state.setTimeoutTimestamp(max(begin // 1000, state.getCurrentWatermarkMs() + 1))
-        return
-
-    kind = {f.name: f.dataType.simpleString() for f in rows.schema}
-    return rows.withWatermark("ts", late).groupBy(key).applyInPandasWithState(hold, f"{key} {kind[key]}, {starts} timestamp, {value} {kind[value]}", f"known long, starts long, held {kind[value]}", "append", "EventTimeTimeout")
