@@ -29,6 +29,8 @@ FOLDS, HELD = 5, 0
 PLACED = 1  # remainder of the second fold, whose rows place middle and thresholds
 BINS = 64  # of the logit, to one unit
 MOST_LOGIT = 30
+PAD = max(WIDTHS)  # rows after each text
+MOST_SENT = 2_000_000  # ids of labelled rows that are broadcast, some 16 MB
 LEAST_ROWS = 20  # of either label, for a language's own threshold
 
 
@@ -61,14 +63,18 @@ def buckets(hashes: np.ndarray) -> np.ndarray:
 
 def padded(words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of texts' words with the padding after each text, and where each text begins."""
-    pad = max(WIDTHS) - 1
     n = len(first) - 1
-    begins = first + pad * np.arange(n + 1)
+    begins = first + PAD * np.arange(n + 1)
     out = np.full((begins[-1], 2), 1 << BITS, dtype=np.int32)
-    out[np.arange(first[-1]) + pad * np.repeat(np.arange(n), np.diff(first))] = words
+    out[np.arange(first[-1]) + PAD * np.repeat(np.arange(n), np.diff(first))] = words
     return out, begins
 
 
+def places(begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each text's filters begin: at each of its words, or at the padding if it has none; so none reaches the next text."""
+    return begins[:-1], np.maximum(begins[1:] - PAD, begins[:-1] + 1)
+
+
 def _looked_up(model: Model, rows: np.ndarray) -> np.ndarray:
     return np.concatenate([model.vectors[rows[:, 0], :DIM], model.vectors[rows[:, 1], DIM:]], axis=1)
 
@@ -84,17 +90,18 @@ def _maps(model: Model, x: np.ndarray) -> Iterator[np.ndarray]:
 
 def logits(model: Model, rows: np.ndarray, begins: np.ndarray) -> np.ndarray:
     """The logistic layer's input for each text; of a text without words, that of padding alone."""
-    pooled = [np.maximum(np.maximum.reduceat(m, begins[:-1], axis=0), 0) for m in _maps(model, _looked_up(model, rows))]
+    edges = np.stack(places(begins), axis=1).ravel()
+    pooled = [np.maximum(np.maximum.reduceat(m, edges, axis=0)[::2], 0) for m in _maps(model, _looked_up(model, rows))]
     return np.concatenate(pooled, axis=1) @ model.weights - model.middle
 
 
 def _step(model: Model, rows: np.ndarray, begins: np.ndarray, label: np.ndarray, weight: np.ndarray, adam: Adam) -> None:
     x = _looked_up(model, rows)
     n = len(label)
-    pooled, places = [], []
+    pooled, tops = [], []
     for m in _maps(model, x):
-        at = np.stack([m[a:b].argmax(axis=0) + a for a, b in zip(begins[:-1], begins[1:], strict=True)])
-        places.append(at)
+        at = np.stack([m[a:b].argmax(axis=0) + a for a, b in zip(*places(begins), strict=True)])
+        tops.append(at)
         pooled.append(np.take_along_axis(m, at, axis=0))
     raw = np.concatenate(pooled, axis=1)
     act = np.maximum(raw, 0)
@@ -104,7 +111,7 @@ def _step(model: Model, rows: np.ndarray, begins: np.ndarray, label: np.ndarray,
     grads = {"weights": act.T @ error, "middle": np.array([-error.sum()], dtype=np.float32)}
     touched: list[np.ndarray] = []
     slopes: list[np.ndarray] = []
-    for k, (kernel, at) in enumerate(zip(model.kernels, places, strict=True)):
+    for k, (kernel, at) in enumerate(zip(model.kernels, tops, strict=True)):
         g = back[:, k * FILTERS : (k + 1) * FILTERS]
         grads[f"bias{k}"] = g.sum(axis=0)
         dk = np.zeros_like(kernel)
@@ -257,15 +264,18 @@ def _second() -> Column:
 def counted(docs: DataFrame, labels: DataFrame, model: Model) -> dict[str, Counts]:
     """Rows of all labelled documents of the second fold, outside the held one, by language and bin.
 
-    Texts are scored where they lie; numbers alone are joined with the labels. A doc_id with
+    Texts are scored where they lie, those with a label alone if the labels' ids, a number each, can
+    be sent to the tasks (up to MOST_SENT); numbers alone are joined with the labels. A doc_id with
     several labels counts with its largest, one with several texts counts once.
     """
     inside = F.col("doc_id").isNotNull() & (F.crc32(F.col("doc_id").cast("string")) % FOLDS != HELD) & (_second() % FOLDS == PLACED)
     lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
     sent = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.where(inside).select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce(lang, F.lit("")).alias("lang"))
-    bins = rows.mapInArrow(_binned(sent), "doc_id long, lang string, bin long")
     marks = labels.where(inside & F.col("toxic").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").alias("label"))
+    if marks.count() <= MOST_SENT:
+        rows = rows.join(F.broadcast(marks.select("doc_id")), "doc_id", "left_semi")
+    bins = rows.mapInArrow(_binned(sent), "doc_id long, lang string, bin long")
     once = bins.join(marks, "doc_id").groupBy("doc_id").agg(F.min(F.struct("lang", "bin", "label")).alias("r"))
     found = once.groupBy("r.lang", "r.bin").agg(F.count_if(F.col("r.label") == 0).alias("clean"), F.count_if(F.col("r.label") == 1).alias("toxic")).collect()
     out: dict[str, Counts] = {}
