@@ -13,6 +13,7 @@ from tidemark.sources.tables import table
 
 
 def money(c: str):
+    """Exact sums of a money column, as decimals."""
     return F.sum(F.col(c).cast("decimal(18,2)"))
 
 
@@ -54,6 +55,7 @@ def f08_scrub(spark: SparkSession, d: str) -> DataFrame:
 
 @query("select event_type, cast(json_extract(props, '$.k') as bigint) % 10 as k, count(*) as n from events group by all")
 def n01_json(spark: SparkSession, d: str) -> DataFrame:
+    """Events by type and last digit of a payload's number; payloads without it count under NULL."""
     k = F.from_json("props", T.StructType([T.StructField("k", T.LongType())]))["k"]
     return table(spark, d, "events").groupBy("event_type", (k % 10).alias("k")).agg(F.count(F.lit(1)).alias("n"))
 
@@ -101,6 +103,7 @@ def n05_map_lookup(spark: SparkSession, d: str) -> DataFrame:
 
 @query("select conv_id, turn, role, unnest(string_split(role || ';' || turn, ';')) as part from conversations")
 def n08_split(spark: SparkSession, d: str) -> DataFrame:
+    """One row for each part of a delimited list, in no order; empty parts stay."""
     return table(spark, d, "conversations").select("conv_id", "turn", "role", F.explode(F.split(F.concat_ws(";", "role", F.col("turn").cast("string")), ";")).alias("part"))
 
 

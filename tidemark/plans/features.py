@@ -16,12 +16,14 @@ sum(cast(round(value, 2) as decimal(18,2))) as v from events group by all)"""
 
 
 def days(spark: SparkSession, d: str) -> DataFrame:
+    """One row per user and day with any event: counts by type and the summed value."""
     kind = lambda k: F.count_if(F.col("event_type") == k)
     cents = F.sum(F.round("value", 2).cast("decimal(18,2)"))
     return table(spark, d, "events").groupBy("user_id", F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("n"), kind("view").alias("views"), kind("purchase").alias("buys"), cents.alias("v"))
 
 
 def past(n: int | None = None):
+    """The n days of a user before the current one, or all of them."""
     return windows.before(["user_id"], [F.col("day")], n)
 
 
@@ -37,6 +39,7 @@ def g08_role(spark: SparkSession, d: str) -> DataFrame:
 @query(f"""with {_DAYS}, s as (select user_id, day, n::double / sum(n) over (partition by day) as part from days)
 select user_id, day, part, lag(part) over (partition by user_id order by day) as part_last from s""")
 def g13_usage_share(spark: SparkSession, d: str) -> DataFrame:
+    """Each user's share of its day's events, and the share on its last day before (NULL on the first)."""
     share = (F.col("n").cast("double") / F.sum("n").over(Window.partitionBy("day"))).alias("part")
     return days(spark, d).select("user_id", "day", share).withColumn("part_last", F.lag("part").over(Window.partitionBy("user_id").orderBy("day")))
 
@@ -109,13 +112,14 @@ def r18_upside(spark: SparkSession, d: str) -> DataFrame:
     return u.withColumn("keep", F.round(F.coalesce(0.85 * F.col("ceiling"), F.col("mid")), 6))
 
 
-@query("""with r as (select c_mktsegment, max(c_acctbal) as level from customer where c_custkey % 3 = 0 group by 1)
-select c_custkey, c_acctbal - level as over_level, greatest(c_acctbal - level, 0.0) * case when c_nationkey <= 10 then 1.0 else 0.7 end::double as keep_value from customer join r on customer.c_mktsegment = r.c_mktsegment where c_custkey % 3 <> 0""")
+@query("""with u as (select distinct o_custkey from orders where o_orderpriority = '1-URGENT'), r as (select c_mktsegment, max(c_acctbal) as level from customer where c_custkey not in (select o_custkey from u) group by 1)
+select c_custkey, c_acctbal - level as over_level, greatest(c_acctbal - level, 0.0) * case when c_nationkey <= 10 then 1.0 else 0.7 end::double as keep_value from customer join r on customer.c_mktsegment = r.c_mktsegment where c_custkey in (select o_custkey from u)""")
 def r19_keep_value(spark: SparkSession, d: str) -> DataFrame:
-    """Value over the best free replacement of one's kind, times a step of a curve."""
+    """Value of held customers, those with an urgent order, over the best free one of their segment, times a step of a curve."""
+    urgent = table(spark, d, "orders").where("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").alias("c_custkey")).distinct()
     c = table(spark, d, "customer")
-    level = c.where("c_custkey % 3 = 0").groupBy("c_mktsegment").agg(F.max("c_acctbal").alias("level"))
-    held = c.where("c_custkey % 3 <> 0").join(F.broadcast(level), "c_mktsegment").withColumn("over_level", F.col("c_acctbal") - F.col("level"))
+    level = c.join(urgent, "c_custkey", "left_anti").groupBy("c_mktsegment").agg(F.max("c_acctbal").alias("level"))
+    held = c.join(urgent, "c_custkey", "left_semi").join(level, "c_mktsegment").withColumn("over_level", F.col("c_acctbal") - F.col("level"))
     return held.select("c_custkey", "over_level", (F.greatest("over_level", F.lit(0.0)) * F.when(F.col("c_nationkey") <= 10, 1.0).otherwise(0.7)).alias("keep_value"))
 
 

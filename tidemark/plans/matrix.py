@@ -253,16 +253,19 @@ def g05_eligible(spark: SparkSession, d: str) -> DataFrame:
 
 @query(_sql("select * from context", "d", "td", "context"))
 def g09_team_context(spark: SparkSession, d: str) -> DataFrame:
+    """One row per team and day: the three games before, and a line from both sides."""
     return team_context(team_days(daily(table(spark, d, "events"))))
 
 
 @query(_sql("select user_id, day, run_before, best3, last_day from streak", "d", "streak0", "streak"))
 def g15_streak(spark: SparkSession, d: str) -> DataFrame:
+    """One row per user and day played: what its runs were before it."""
     return streaks(daily(table(spark, d, "events")))
 
 
 @query(_sql("select * from ratings", "d", "td", "rated", "rating", "ratings"))
 def g18_ratings(spark: SparkSession, d: str) -> DataFrame:
+    """One row per team and day: the newest rating that isn't stale, its movement, and the edge."""
     events = table(spark, d, "events")
     return team_ratings(events, team_days(daily(events)))
 
@@ -294,6 +297,7 @@ def g19_script(spark: SparkSession, d: str) -> DataFrame:
 
 @query(_sql("select * from outs", "d", "td", "depth", "outs"))
 def g22_opponent_out(spark: SparkSession, d: str) -> DataFrame:
+    """One row per team and day: how many of the opponent's first three were reported the day before."""
     rows = daily(table(spark, d, "events"))
     return opponent_out(rows, team_days(rows))
 

@@ -112,6 +112,7 @@ def j11_backfill(spark: SparkSession, d: str) -> DataFrame:
 
 @query("select count(*) as n_rows, count(*) - count(ts) as n_unknown from events")
 def g01_contract(spark: SparkSession, d: str) -> DataFrame:
+    """One row: how many events there are, and how many lack the instant at which they became known."""
     return gate.check_contract(table(spark, d, "events"), "ts")
 
 

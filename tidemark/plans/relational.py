@@ -13,6 +13,7 @@ from tidemark.sources.tables import table
 
 
 def money(c: str):
+    """Sums of a money column, exact until they become a double."""
     return F.sum(F.col(c).cast("decimal(18,2)")).cast("double")
 
 
@@ -33,6 +34,7 @@ with s as (select l_suppkey, year(l_shipdate) as season, sum(cast(l_quantity as
 select a.l_suppkey, a.season, cast(a.qty as double) as qty, cast(b.qty as double) as prior_qty from s a left join s b on a.l_suppkey = b.l_suppkey and a.season = b.season + 1
 """)
 def j02_composite(spark: SparkSession, d: str) -> DataFrame:
+    """Each supplier's season beside the one before it, NULL where it had none."""
     s = table(spark, d, "lineitem").groupBy("l_suppkey", F.year("l_shipdate").cast("long").alias("season")).agg(money("l_quantity").alias("qty"))
     prior = s.select("l_suppkey", (F.col("season") + 1).alias("season"), F.col("qty").alias("prior_qty"))
     return s.join(prior, ["l_suppkey", "season"], "left")
@@ -62,12 +64,14 @@ def j04_full_outer_blend(spark: SparkSession, d: str) -> DataFrame:
 
 @query("select c_custkey from customer where exists (select 1 from orders where o_custkey = c_custkey and o_orderpriority = '1-URGENT')")
 def j05_semi(spark: SparkSession, d: str) -> DataFrame:
+    """Customers with an urgent order, each once."""
     urgent = table(spark, d, "orders").where("o_orderpriority = '1-URGENT'").select("o_custkey")
     return table(spark, d, "customer").join(urgent, F.col("c_custkey") == F.col("o_custkey"), "left_semi").select("c_custkey")
 
 
 @query("select c_custkey from customer where not exists (select 1 from orders where o_custkey = c_custkey and o_orderpriority = '1-URGENT')")
 def j05_anti(spark: SparkSession, d: str) -> DataFrame:
+    """Customers without an urgent order; those without any order too."""
     urgent = table(spark, d, "orders").where("o_orderpriority = '1-URGENT'").select("o_custkey")
     return table(spark, d, "customer").join(urgent, F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey")
 
@@ -77,6 +81,7 @@ select distinct o_custkey, year(o_orderdate) as season from orders o
 where not exists (select 1 from orders p where p.o_custkey = o.o_custkey and year(p.o_orderdate) = year(o.o_orderdate) and p.o_orderstatus = 'F')
 """)
 def j06_tuple_anti(spark: SparkSession, d: str) -> DataFrame:
+    """Customers and seasons without a finished order; NULLs in keys equal each other."""
     rows = table(spark, d, "orders").select("o_custkey", F.year("o_orderdate").cast("long").alias("season"), "o_orderstatus")
     return sinks.anti(rows.select("o_custkey", "season").distinct(), rows.where("o_orderstatus = 'F'"), ["o_custkey", "season"])
 
@@ -166,11 +171,13 @@ def j21_two_sides(spark: SparkSession, d: str) -> DataFrame:
 
 @query("select p_partkey, case when p_size <= 10 then 1.0 when p_size <= 25 then 0.8 when p_size <= 40 then 0.5 else 0.2 end::double as curve from part")
 def j22_step_lookup(spark: SparkSession, d: str) -> DataFrame:
+    """The value of the first step whose edge is at or above the size; NULL sizes have none."""
     return table(spark, d, "part").select("p_partkey", joins.step_value(F.col("p_size"), [(10, 1.0), (25, 0.8), (40, 0.5)], 0.2).alias("curve"))
 
 
 @query("select l_suppkey, l_returnflag, count(*) as n, cast(sum(cast(l_quantity as decimal(18,2))) as double) as qty, cast(sum(cast(l_extendedprice as decimal(18,2))) as double) as price from lineitem group by all")
 def a01_sums(spark: SparkSession, d: str) -> DataFrame:
+    """One row per supplier and flag, sums exact."""
     return table(spark, d, "lineitem").groupBy("l_suppkey", "l_returnflag").agg(F.count(F.lit(1)).alias("n"), money("l_quantity").alias("qty"), money("l_extendedprice").alias("price"))
 
 
@@ -179,11 +186,13 @@ select l_suppkey, case when grouping(l_returnflag) = 1 then 'ALL' else l_returnf
 from lineitem group by grouping sets ((l_suppkey, l_returnflag), (l_suppkey))
 """)
 def a02_grouping_sets(spark: SparkSession, d: str) -> DataFrame:
+    """One row per supplier and flag, and one per supplier over all flags, in one pass."""
     return aggregates.with_total(table(spark, d, "lineitem"), ["l_suppkey"], "l_returnflag", [F.count(F.lit(1)).alias("n"), money("l_quantity").alias("qty")])
 
 
 @query("select user_id, count(*) / nullif(count(distinct cast(ts as date)), 0)::double as a_day from events group by user_id")
 def a03_per_day(spark: SparkSession, d: str) -> DataFrame:
+    """Events of a user over the days on which it has any."""
     return table(spark, d, "events").groupBy("user_id").agg((F.count(F.lit(1)) / F.nullif(F.count_distinct(F.to_date("ts")), F.lit(0))).alias("a_day"))
 
 
@@ -232,6 +241,7 @@ def a09_spread(spark: SparkSession, d: str) -> DataFrame:
 
 @query("select user_id, round(regr_slope(value, i), 6) + 0.0 as slope from (select user_id, value, row_number() over (partition by user_id order by ts, event_id) as i from events) group by user_id")
 def a11_slope(spark: SparkSession, d: str) -> DataFrame:
+    """The slope of a user's values over their order in time; NULL with a single one."""
     out = aggregates.slope(table(spark, d, "events"), ["user_id"], [F.col("ts"), F.col("event_id")], "value")
     return out.select("user_id", (F.round("slope", 6) + 0.0).alias("slope"))
 
@@ -249,18 +259,21 @@ with r as (select event_type, rank() over (partition by event_type order by valu
 select event_type, round(corr(x, y), 6) as rho, count(*) as n from r group by event_type
 """)
 def a13_spearman(spark: SparkSession, d: str) -> DataFrame:
+    """Rank correlation of value and user by event type, ties sharing their mean rank; small groups are left out."""
     out = aggregates.spearman(table(spark, d, "events"), ["event_type"], "value", "user_id")
     return out.select("event_type", F.round("rho", 6).alias("rho"), "n")
 
 
 @query("select user_id, count(*) filter (event_type = 'view') as view, count(*) filter (event_type = 'click') as click, count(*) filter (event_type = 'purchase') as purchase from events group by user_id")
 def a14_pivot(spark: SparkSession, d: str) -> DataFrame:
+    """One row per user, a column for each of three types, 0 where it has none."""
     kinds = ["view", "click", "purchase"]
     return table(spark, d, "events").groupBy("user_id").pivot("event_type", kinds).agg(F.count(F.lit(1))).na.fill(0, kinds)
 
 
 @query("select user_id, event_type as usual from (select user_id, event_type, row_number() over (partition by user_id order by count(*) desc, event_type desc) as n from events group by user_id, event_type) where n = 1")
 def a15_mode(spark: SparkSession, d: str) -> DataFrame:
+    """Each user's most frequent type; of equally frequent ones the last by name."""
     counts = table(spark, d, "events").groupBy("user_id", "event_type").agg(F.count(F.lit(1)).alias("n"))
     return counts.groupBy("user_id").agg(F.max(F.struct("n", "event_type"))["event_type"].alias("usual"))
 
@@ -274,6 +287,7 @@ def a17_ordered_list(spark: SparkSession, d: str) -> DataFrame:
 
 @query("select c_mktsegment, max(c_acctbal) as best, arg_max(c_custkey, (c_acctbal, c_custkey)) as best_key from customer group by c_mktsegment")
 def a19_best(spark: SparkSession, d: str) -> DataFrame:
+    """Each segment's largest balance and whose it is; of equal ones the largest key."""
     return table(spark, d, "customer").groupBy("c_mktsegment").agg(F.max("c_acctbal").alias("best"), F.max_by("c_custkey", F.struct("c_acctbal", "c_custkey")).alias("best_key"))
 
 
@@ -306,6 +320,7 @@ def a22_error_metrics(spark: SparkSession, d: str) -> DataFrame:
 @query(f"""with {_FORECAST} select event_type, round(avg(case when value between 0.5 * p and 1.5 * p then 1.0 else 0.0 end), 6) as covered,
 round(avg(greatest(0.9 * (value - 1.5 * p), (0.9 - 1) * (value - 1.5 * p))), 6) as pinball_90, round(avg(p), 6) as width from f group by event_type""")
 def a23_calibration(spark: SparkSession, d: str) -> DataFrame:
+    """Coverage, pinball loss and width of the bands by event type."""
     v, p = F.col("value"), F.col("p")
     return _forecast(spark, d).groupBy("event_type").agg(
         F.round(F.avg(F.when(v.between(0.5 * p, 1.5 * p), 1.0).otherwise(0.0)), 6).alias("covered"), F.round(F.avg(aggregates.pinball(v, 1.5 * p, 0.9)), 6).alias("pinball_90"), F.round(F.avg(p), 6).alias("width")
@@ -321,11 +336,13 @@ def a24_skill(spark: SparkSession, d: str) -> DataFrame:
 
 @query("select o_orderpriority, round(avg(case when o_orderstatus = 'F' then 1.0 else 0.0 end), 6) as share_f, count(*) - count(nullif(o_orderstatus, 'P')) as n_p from orders group by o_orderpriority")
 def a27_shares(spark: SparkSession, d: str) -> DataFrame:
+    """Shares of a status by priority; NULL statuses count in the whole."""
     return table(spark, d, "orders").groupBy("o_orderpriority").agg(F.round(F.avg(F.when(F.col("o_orderstatus") == "F", 1.0).otherwise(0.0)), 6).alias("share_f"), F.count_if(F.nullif("o_orderstatus", F.lit("P")).isNull()).alias("n_p"))
 
 
 @query("select case when p_size <= 10 then '01-10' when p_size <= 30 then '11-30' else '31+' end as bucket, count(*) as n, cast(sum(cast(p_retailprice as decimal(18,2))) as double) as price from part group by bucket")
 def a29_buckets(spark: SparkSession, d: str) -> DataFrame:
+    """Parts and their mean price by range of size."""
     bucket = S.first_that_holds([(F.col("p_size") <= 10, "01-10"), (F.col("p_size") <= 30, "11-30")], "31+")
     return table(spark, d, "part").groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"), money("p_retailprice").alias("price"))
 
@@ -338,23 +355,28 @@ def o03_top(spark: SparkSession, d: str) -> DataFrame:
 
 @query("select c_custkey as id, c_name as name, c_mktsegment as segment from customer union all by name select s_suppkey as id, s_name as name from supplier")
 def u01_union(spark: SparkSession, d: str) -> DataFrame:
+    """Customers and suppliers under common names; columns that a side lacks are NULL."""
     a = table(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"))
     return a.unionByName(table(spark, d, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name")), allowMissingColumns=True)
 
 
-@query("select c_custkey from customer except select o_custkey from orders")
+@query("select c_custkey from customer except select o_custkey from orders where o_orderpriority = '1-URGENT' and o_orderstatus = 'P'")
 def u02_difference(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "customer").select("c_custkey").subtract(table(spark, d, "orders").select("o_custkey"))
+    """Customers without an urgent order that is pending, each once."""
+    pending = table(spark, d, "orders").where("o_orderpriority = '1-URGENT' AND o_orderstatus = 'P'")
+    return table(spark, d, "customer").select("c_custkey").subtract(pending.select("o_custkey"))
 
 
 @query("select l_suppkey from lineitem where l_returnflag = 'R' intersect select l_suppkey from lineitem where l_linestatus = 'O'")
 def u03_intersection(spark: SparkSession, d: str) -> DataFrame:
+    """Suppliers with a returned and an open line, each once."""
     lines = table(spark, d, "lineitem")
     return lines.where("l_returnflag = 'R'").select("l_suppkey").intersect(lines.where("l_linestatus = 'O'").select("l_suppkey"))
 
 
 @query("select user_id as id from events union select o_custkey as id from orders")
 def u04_distinct_union(spark: SparkSession, d: str) -> DataFrame:
+    """Ids that are a user's or a customer's, each once."""
     return table(spark, d, "events").select(F.col("user_id").alias("id")).union(table(spark, d, "orders").select("o_custkey")).distinct()
 
 
@@ -369,11 +391,13 @@ def _old_new(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
 
 @query(f"with {_NEW} select * from old where not exists (select 1 from n where n.o_custkey = old.o_custkey and n.season = old.season) union all select * from n")
 def k01_upsert(spark: SparkSession, d: str) -> DataFrame:
+    """Old rows, with the new ones in place of those with the same keys."""
     return sinks.upserted(*_old_new(spark, d), ["o_custkey", "season"])
 
 
 @query(f"with {_NEW} select * from old where season not in (select season from n) union all select * from n")
 def k02_replace_partition(spark: SparkSession, d: str) -> DataFrame:
+    """Old rows, with every season that has new rows replaced whole."""
     return sinks.replaced_partitions(*_old_new(spark, d), ["season"])
 
 

@@ -14,25 +14,30 @@ ORDER = ["ts", "event_id"]
 
 
 def events(spark: SparkSession, d: str) -> DataFrame:
+    """The events table."""
     return table(spark, d, "events")
 
 
 def user():
+    """A user's events in time; of one instant by their ids."""
     return Window.partitionBy("user_id").orderBy(*ORDER)
 
 
 @query("select user_id, event_id, event_type from (select *, row_number() over (partition by user_id order by ts desc, event_id desc) as n from events) where n = 1")
 def w01_latest(spark: SparkSession, d: str) -> DataFrame:
+    """Each user's newest event; of one instant that with the larger id."""
     return windows.latest(events(spark, d), ["user_id"], [F.col(c).desc() for c in ORDER]).select("user_id", "event_id", "event_type")
 
 
 @query("select o_custkey, o_orderkey from orders o where o_orderdate = (select max(o_orderdate) from orders p where p.o_custkey = o.o_custkey)")
 def w02_newest_snapshot(spark: SparkSession, d: str) -> DataFrame:
+    """All orders of a customer's newest day."""
     return windows.newest_snapshot(table(spark, d, "orders"), ["o_custkey"], "o_orderdate").select("o_custkey", "o_orderkey")
 
 
 @query("select s_suppkey, s_acctbal / nullif(cast(sum(cast(s_acctbal as decimal(18,2))) over (partition by s_nationkey) as double), 0) as part from supplier")
 def w03_share(spark: SparkSession, d: str) -> DataFrame:
+    """Each supplier's balance over its nation's, NULL where that is 0."""
     total = F.sum(F.col("s_acctbal").cast("decimal(18,2)")).over(Window.partitionBy("s_nationkey")).cast("double")
     return table(spark, d, "supplier").select("s_suppkey", (F.col("s_acctbal") / F.nullif(total, F.lit(0.0))).alias("part"))
 
@@ -46,6 +51,7 @@ def w04_ranks(spark: SparkSession, d: str) -> DataFrame:
 
 @query("select user_id, count(*) as n, round(avg(value), 6) as mean from (select *, row_number() over (partition by user_id order by ts desc, event_id desc) as n from events) where n <= 3 group by user_id")
 def w07_last_three(spark: SparkSession, d: str) -> DataFrame:
+    """Mean over each user's last three events; fewer if it has fewer."""
     rows = windows.last_n(events(spark, d), ["user_id"], [F.col(c).desc() for c in ORDER], 3)
     return rows.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("value"), 6).alias("mean"))
 
@@ -102,6 +108,7 @@ l as (select user_id, s as last from s where n = 1), e as (select s.user_id, min
 select l.user_id, cast(l.last * least(coalesce(e.ended - 1, (select count(*) from s where s.user_id = l.user_id)), 6) as integer) as run from l left join e on l.user_id = e.user_id
 """)
 def w13_run_length(spark: SparkSession, d: str) -> DataFrame:
+    """The run of values over or under 50 at each user's end, signed, 6 at most; a 50 ends it."""
     rows = events(spark, d).withColumn("over", F.col("value") - 50)
     return windows.run_length(rows, ["user_id"], [F.col(c) for c in ORDER], "over", 6)
 
@@ -125,6 +132,7 @@ with m as (select user_id, value, avg(value) over (partition by user_id order by
 select user_id, round(coalesce(max(m) filter (n >= 3), avg(value)), 6) as best from m group by user_id
 """)
 def w15_rolling_best(spark: SparkSession, d: str) -> DataFrame:
+    """The best mean of three of a user's events in turn; of fewer their mean."""
     return windows.rolling_best(events(spark, d), ["user_id"], [F.col(c) for c in ORDER], "value").select("user_id", F.round("best", 6).alias("best"))
 
 
@@ -146,6 +154,7 @@ def w18_p95_norm(spark: SparkSession, d: str) -> DataFrame:
 
 @query("select s_suppkey, lag(s_suppkey) over w as above, lead(s_suppkey) over w as below from supplier window w as (partition by s_nationkey order by s_acctbal desc, s_suppkey)")
 def w19_neighbours(spark: SparkSession, d: str) -> DataFrame:
+    """The suppliers next above and below by balance in a nation, of equal ones by key; NULL at the ends."""
     w = Window.partitionBy("s_nationkey").orderBy(F.col("s_acctbal").desc(), "s_suppkey")
     return table(spark, d, "supplier").select("s_suppkey", F.lag("s_suppkey").over(w).alias("above"), F.lead("s_suppkey").over(w).alias("below"))
 
@@ -167,6 +176,7 @@ select event_id, first_value(event_type) over w as first_type, count(*) over (pa
 from events window w as (partition by user_id order by ts, event_id)
 """)
 def w21_tenure(spark: SparkSession, d: str) -> DataFrame:
+    """Of each event: the type of the user's first one, how many so far were of its own type, and whether the last was of another."""
     w = user()
     own = Window.partitionBy("user_id", "event_type").orderBy(*ORDER)
     return events(spark, d).select("event_id", F.first("event_type").over(w).alias("first_type"), F.count(F.lit(1)).over(own).alias("so_far"), F.coalesce(F.col("event_type") != F.lag("event_type").over(w), F.lit(False)).alias("changed"))
@@ -194,12 +204,14 @@ def d09_season_starts(spark: SparkSession, d: str) -> DataFrame:
 
 @query("select cast(ts as date) as day, event_type, count(*) as n from events group by all")
 def t06_tumbling(spark: SparkSession, d: str) -> DataFrame:
+    """Events by day and type."""
     w = events(spark, d).groupBy(F.window("ts", "1 day"), "event_type").agg(F.count(F.lit(1)).alias("n"))
     return w.select(F.to_date("window.start").alias("day"), "event_type", "n")
 
 
 @query("select (epoch_us(ts) // 21600000000 - k) * 21600000000 as start_us, count(*) as n from events cross join (values (0), (1), (2), (3)) t(k) group by start_us")
 def t06_sliding(spark: SparkSession, d: str) -> DataFrame:
+    """Events in windows of a day that start every six hours; an event is in four."""
     w = events(spark, d).groupBy(F.window("ts", "1 day", "6 hours")).agg(F.count(F.lit(1)).alias("n"))
     return w.select(S.micros(F.col("window.start").cast("timestamp_ntz")).alias("start_us"), "n")
 
@@ -210,5 +222,6 @@ s as (select user_id, ts, sum(fresh) over (partition by user_id order by ts, eve
 select user_id, epoch_us(min(ts)) as start_us, count(*) as n from s group by user_id, k
 """)
 def t06_session(spark: SparkSession, d: str) -> DataFrame:
+    """Events of a user without two hours between them, by session."""
     w = events(spark, d).groupBy("user_id", F.session_window("ts", "2 hours")).agg(F.count(F.lit(1)).alias("n"))
     return w.select("user_id", S.micros(F.col("session_window.start").cast("timestamp_ntz")).alias("start_us"), "n")
