@@ -1,3 +1,4 @@
+import hashlib
 import itertools
 from datetime import datetime
 
@@ -6,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import scalars as S
-from tidemark.operators import aggregates, gate, windows
+from tidemark.operators import aggregates, gate, joins, windows
 from tidemark.sources import sinks
 from tidemark.sources.tables import nan_to_null, optional, overlaid
 from tidemark.streaming import events as streaming
@@ -120,3 +121,28 @@ def test_stream_windows_drop_late_rows(spark, tmp_path):
         counts.writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start().awaitTermination()
     out = spark.read.parquet(f"{tmp_path}/out").collect()
     assert [(r.start, r.n) for r in out] == [(datetime(2024, 1, 1), 1)]
+
+
+def test_bootstrap_equals_plain_draws(spark):
+    rows = [(f"day {k:02}", 3 + k % 4, float(k * k % 17 - 8)) for k in range(12)]
+    got = aggregates.blocked_bootstrap(spark.createDataFrame(rows, "block string, n long, diff double").repartition(3), 200, 5).first()
+    means = []
+    for draw in range(200):
+        picks = [rows[int(hashlib.md5(f"5-{draw}-{k}".encode()).hexdigest()[:8], 16) % 12] for k in range(12)]
+        means.append(sum(r[2] for r in picks) / sum(r[1] for r in picks))
+    assert got["mean"] == pytest.approx(sum(r[2] for r in rows) / sum(r[1] for r in rows))
+    assert (got.low, got.high) == (pytest.approx(np.quantile(means, 0.025)), pytest.approx(np.quantile(means, 0.975)))
+    assert tuple(aggregates.blocked_bootstrap(spark.createDataFrame([], "block string, n long, diff double"), 20, 5).first()) == (None, None, None)
+
+
+def test_nearest_in_time_is_the_closest_of_all(spark):
+    rng = np.random.default_rng(4)
+    left = [(int(k), int(t), i) for i, (k, t) in enumerate(zip(rng.integers(0, 4, 60), rng.integers(0, 100, 60), strict=True))]
+    right = [(int(k), int(t), 1000 + i) for i, (k, t) in enumerate(zip(rng.integers(0, 3, 40), rng.integers(0, 100, 40), strict=True))]
+    got = {r.i: (r.other, r.gap) for r in joins.nearest(spark.createDataFrame(left, "k int, t long, i int"), spark.createDataFrame(right, "k int, t long, other long"), "k", "t", "other", 5).collect()}
+    want = {}
+    for k, t, i in left:
+        near = sorted((abs(t - s), o) for kk, s, o in right if kk == k and abs(t - s) <= 5)
+        if near:
+            want[i] = (near[0][1], near[0][0])
+    assert got == want and len(want) > 10

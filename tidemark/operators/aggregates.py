@@ -60,18 +60,22 @@ def least_squares(df: DataFrame, inputs: list[str], target: str) -> list[float]:
     return np.linalg.lstsq(m[:-1, :-1], m[:-1, -1], rcond=None)[0].tolist()
 
 
-def blocked_bootstrap(blocks: DataFrame, draws: int, seed: int) -> dict[str, float]:
-    """Mean paired difference and its 95 % interval, whole blocks redrawn.
+def blocked_bootstrap(blocks: DataFrame, draws: int, seed: int) -> DataFrame:
+    """One row: the mean paired difference and its 95 % interval, whole blocks redrawn (mean, low, high; NULL without blocks).
 
-    blocks: block, n, diff (the sum of differences); one row a block, so few rows reach the driver.
+    blocks: block, n, diff (the sum of differences), a row a block. The k-th block of a draw is
+    chosen by a digest of seed, draw and k, so draws are the same on any cluster; a row for each
+    draw and block is made and summed in Spark.
     """
-    rows = sorted((r.block, r.n, r["diff"]) for r in blocks.select("block", "n", "diff").collect())
-    if not rows:
-        return {"mean": float("nan"), "low": float("nan"), "high": float("nan")}
-    n, d = np.array([r[1] for r in rows], float), np.array([r[2] for r in rows], float)
-    take = np.random.default_rng(seed).integers(0, len(rows), (draws, len(rows)))
-    means = d[take].sum(axis=1) / n[take].sum(axis=1)
-    return {"mean": float(d.sum() / n.sum()), "low": float(np.quantile(means, 0.025)), "high": float(np.quantile(means, 0.975))}
+    order = Window.orderBy("block")  # a row a block, so one sort of few
+    rows = blocks.select("n", "diff", (F.row_number().over(order) - 1).cast("long").alias("at"), F.count(F.lit(1)).over(Window.partitionBy()).alias("of"))
+    each = rows.select("at", "of", F.explode(F.sequence(F.lit(0), F.lit(draws - 1))).alias("draw"))
+    digest = F.substring(F.md5(F.concat_ws("-", F.lit(str(seed)), F.col("draw").cast("string"), F.col("at").cast("string")).cast("binary")), 1, 8)
+    picked = each.select("draw", (F.conv(digest, 16, 10).cast("long") % F.col("of")).alias("at"))
+    means = picked.join(rows.select("at", "n", "diff"), "at").groupBy("draw").agg((F.sum("diff") / F.sum("n")).alias("mean"))
+    whole = rows.agg((F.sum("diff") / F.sum("n")).alias("mean"))
+    ends = means.agg(F.percentile("mean", 0.025).alias("low"), F.percentile("mean", 0.975).alias("high"))
+    return ends.select(whole.scalar().alias("mean"), "low", "high")
 
 
 def pinball(actual: Column, quantile: Column, level: float) -> Column:

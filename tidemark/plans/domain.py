@@ -228,20 +228,34 @@ def _predictions(spark: SparkSession, d: str) -> DataFrame:
     return rows.where("a IS NOT NULL").withColumn("c", F.lit(50.0))
 
 
-@query()
+_PREDICTIONS = """p as (select * from (select event_type, ts, value, avg(value) over (partition by user_id order by ts, event_id rows between unbounded preceding and 1 preceding) as a,
+  avg(value) over (partition by user_id order by ts, event_id rows between 3 preceding and 1 preceding) as b from events) where a is not null)"""
+
+
+@query(f"""
+with {_PREDICTIONS}, s as (select sum(a * a) as aa, sum(a * b) as ab, sum(a * 50) as ac, sum(b * b) as bb, sum(b * 50) as bc, count(*) * 2500.0 as cc, sum(a * value) as ay, sum(b * value) as by_, sum(50 * value) as cy from p where value is not null and b is not null),
+g as (select i / 100.0::double as a, j / 100.0::double as b, (100 - i - j) / 100.0::double as c from (select unnest(range(101)) as i) cross join (select unnest(range(101)) as j) where i + j <= 100)
+select g.a, g.b, g.c from g, s where s.aa is not null order by g.a * g.a * aa + g.b * g.b * bb + g.c * g.c * cc + 2 * (g.a * g.b * ab + g.a * g.c * ac + g.b * g.c * bc) - 2 * (g.a * ay + g.b * by_ + g.c * cy), g.a, g.b limit 1
+""")
 def y04_simplex(spark: SparkSession, d: str) -> DataFrame:
-    """Ensemble weights of three predictors on a grid of hundredths."""
+    """Ensemble weights of three predictors on a grid of hundredths, from one aggregate of their products."""
     w = aggregates.simplex_weights(_predictions(spark, d), ["a", "b", "c"], "value")
-    return spark.range(1).select(*[F.lit(x).alias(n) for n, x in zip("abc", w, strict=True)])
+    return spark.createDataFrame([tuple(w)], "a double, b double, c double")
 
 
-@query()
+@query(f"""
+with {_PREDICTIONS}, k as (select cast(cast(ts as date) as varchar) as block, count(*) as n, sum((value - b) * (value - b) - (value - a) * (value - a)) as diff from p group by 1),
+r as (select n, diff, row_number() over (order by block) - 1 as at_, count(*) over () as of_ from k),
+e as (select draw, cast('0x' || substr(md5('7-' || draw || '-' || at_), 1, 8) as bigint) % of_ as at_ from r cross join (select unnest(range(2000)) as draw)),
+m as (select draw, sum(diff) / sum(n) as mean from e join r using (at_) group by draw)
+select (select round(sum(diff) / sum(n), 6) from r) as mean, round(quantile_cont(mean, 0.025), 6) as low, round(quantile_cont(mean, 0.975), 6) as high from m
+""")
 def a21_bootstrap(spark: SparkSession, d: str) -> DataFrame:
     """The interval of the difference in squared error of two predictors, whole days redrawn."""
     diff = (F.col("value") - F.col("b")) ** 2 - (F.col("value") - F.col("a")) ** 2
     days = _predictions(spark, d).groupBy(F.to_date("ts").cast("string").alias("block")).agg(F.count(F.lit(1)).alias("n"), F.sum(diff).alias("diff"))
     got = aggregates.blocked_bootstrap(days, 2000, 7)
-    return spark.range(1).select(*[F.lit(v).alias(k) for k, v in got.items()])
+    return got.select(*[F.round(c, 6).alias(c) for c in ("mean", "low", "high")])
 
 
 @query("""

@@ -118,3 +118,37 @@ def k12_locked_record(spark: SparkSession, d: str) -> DataFrame:
         rows = _pool(spark, d).join(shipped, F.col("id") == F.col("_q"), "left").join(starts, F.col("id") == F.col("_s"), "left")
         record = lineups.recorded(rows.select("g", "id", "kind", (F.col("score") + F.coalesce("q", F.lit(0))).alias("score"), "starts"), record, "g", THREE, at)
     return record.select(F.col("g").alias("nationkey"), "slot", "slot_no", F.col("id").alias("suppkey"), "starts", "recorded_at", "locked")
+
+
+_SEASONS = """
+q as (select l_suppkey as id, year(l_shipdate) as season, cast(sum(l_quantity) as bigint) as points from lineitem group by all),
+pool as (select p.g * 10000 + a.season as g, p.id, p.kind, b.points as expected, a.points as actual from (select s_nationkey as g, s_suppkey as id, ['A', 'B', 'C'][s_suppkey % 3 + 1] as kind from supplier) p join q a on a.id = p.id left join q b on b.id = a.id and b.season = a.season - 1)"""
+
+
+@query(f"""
+with {_SEASONS}, {_options("e0", "pool", "'A'", "expected")}, {_options("e1", "pool", "'B', 'C'", "expected")}, {_options("e2", "pool", "'A', 'B', 'C'", "expected")}, {_best(["e0", "e1", "e2"], "own")},
+{_options("f0", "pool", "'A'", "actual")}, {_options("f1", "pool", "'B', 'C'", "actual")}, {_options("f2", "pool", "'A', 'B', 'C'", "actual")}, {_best(["f0", "f1", "f2"], "perfect")},
+long as (select g, 'own' as side, unnest([p0, p1, p2]) as id from own union all select g, 'perfect', unnest([p0, p1, p2]) from perfect),
+s as (select l.g, count(p.id) filter (side = 'own') as own_slots, count(p.id) filter (side = 'perfect') as perfect_slots, coalesce(sum(p.actual) filter (side = 'own'), 0) as own_points, coalesce(sum(p.actual) filter (side = 'perfect'), 0) as perfect_points from long l left join pool p on p.g = l.g and p.id = l.id group by l.g)
+select g // 10000 as nationkey, g % 10000 as season, own_slots, perfect_slots, own_points, perfect_points, case when 5 * own_slots >= 4 * perfect_slots then round(own_points / nullif(perfect_points, 0), 6) end as efficiency from s
+""")
+def r26_perfect_lineups(spark: SparkSession, d: str) -> DataFrame:
+    """What each nation's line-up by the season before was worth, against the perfect one of the season.
+
+    efficiency is NULL where the line-up fills fewer than four of five of the perfect one's slots.
+    """
+    points = table(spark, d, "lineitem").groupBy(F.col("l_suppkey").alias("id"), F.year("l_shipdate").alias("season")).agg(F.sum("l_quantity").cast("long").alias("points"))
+    before = points.select("id", (F.col("season") + 1).alias("season"), F.col("points").alias("expected"))
+    seasons = points.withColumnRenamed("points", "actual").join(before, ["id", "season"], "left")
+    pool = _pool(spark, d).drop("score").join(seasons, "id").withColumn("g", (F.col("g") * 10_000 + F.col("season")).cast("long"))
+    out = None
+    for side, by in (("own", "expected"), ("perfect", "actual")):
+        picks = lineups.assigned(pool.select("g", "id", "kind", F.col(by).alias("score")), "g", THREE).select("g", "id")
+        worth = picks.join(pool.select("g", "id", "actual"), ["g", "id"]).groupBy("g").agg(F.count("id").alias(f"{side}_slots"), F.sum("actual").alias(f"{side}_points"))
+        out = worth if out is None else worth.join(out, "g", "left")
+    zero = {f"own_{c}": F.coalesce(f"own_{c}", F.lit(0)) for c in ("slots", "points")}
+    share = F.round(F.col("own_points") / F.nullif("perfect_points", F.lit(0)), 6)
+    return out.withColumns(zero).select(
+        F.floor(F.col("g") / 10_000).alias("nationkey"), (F.col("g") % 10_000).alias("season"), "own_slots", "perfect_slots", "own_points", "perfect_points",
+        F.when(5 * F.col("own_slots") >= 4 * F.col("perfect_slots"), share).alias("efficiency"),
+    )
