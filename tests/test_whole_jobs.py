@@ -21,3 +21,10 @@ def test_blockers_are_all_rows_ahead(spark, tmp_path):
     got, want = both(spark, tmp_path, "r13_blockers", {"supplier": (rows, "s_suppkey long, s_name string, s_nationkey int, s_acctbal double")})
     assert got == want
     assert max(r[1].count("; ") for r in got if r[1]) == 17
+
+
+def test_difference_is_of_all_orders(spark, tmp_path):
+    customers = [(k,) for k in (1, 2, 2, 3, 4, None)]
+    orders = [(1, "1-URGENT", "P"), (2, "5-LOW", "O"), (9, "1-URGENT", "P")]
+    got, want = both(spark, tmp_path, "u02_difference", {"customer": (customers, "c_custkey long"), "orders": (orders, "o_custkey long, o_orderpriority string, o_orderstatus string")})
+    assert got == want == [(3,), (4,), (None,)]
