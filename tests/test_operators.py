@@ -59,6 +59,14 @@ def test_pair_accuracy_counts_every_pair(spark):
     assert {r.g: (r.pairs, r.credit) for r in got} == want
 
 
+def test_pair_accuracy_deals_a_group_over_tasks(spark):
+    df = spark.range(3000).select(F.lit("a").alias("g"), F.col("id").alias("y"), (F.col("id") * 7 % 3001).alias("p"))
+    out = aggregates.pair_accuracy(df, ["g"], "y", "p")
+    assert out.first().pairs == 3000 * 2999 // 2
+    shuffles = [x for x in out._jdf.queryExecution().executedPlan().toString().split("\n") if "hashpartitioning(" in x]
+    assert any("_bit" in x and "_part" in x for x in shuffles)
+
+
 def test_rank_of_all_is_the_rank_of_one_window(spark):
     rng = np.random.default_rng(6)
     values = [*[float(v) for v in rng.integers(0, 400, 900)], *[7.0] * 300, None, None]
