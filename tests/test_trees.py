@@ -130,3 +130,36 @@ def test_nulls_and_empty_tables(spark):
     assert model.base == {}
     asked = spark.createDataFrame([(1, [1])], "fit int, bins array<int>")
     assert trees.predicted(asked, model, 1).first().prediction is None
+
+
+def test_trees_are_grown_from_rows_added_up(spark):
+    rows = drawn(4, 40) * 50
+    df = spark.createDataFrame(rows, ROWS).withColumn("held", F.lit(False))
+    vectors, values = ({(f, tuple(b), *k(y)) for f, b, y, _ in rows} for k in (lambda y: (), lambda y: (y,)))
+    for by_y, want in ((False, vectors), (True, values)):
+        got = trees.summed(df, by_y)
+        assert got.count() == len(want)
+        assert got.agg(F.sum("w"), F.sum(F.col("w") * F.col("y"))).first() == pytest.approx((sum(r[3] for r in rows), sum(r[2] * r[3] for r in rows)))
+
+
+def test_the_source_is_read_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(rows):
+        for row in rows:
+            read.add(1)
+            yield row
+
+    df = spark.createDataFrame(spark.sparkContext.parallelize(drawn(6, 90), 2).mapPartitions(counted), ROWS)
+    for quantile in (None, 0.5):
+        read.value = 0
+        trees.boosted(df, rounds=3, depth=2, rate=0.5, quantile=quantile)
+        assert read.value == 90
+
+
+def test_predictions_by_vector_of_bins(spark):
+    df = spark.createDataFrame(drawn(7, 200), ROWS)
+    model = trees.boosted(df.where("fit = 1"), rounds=2, depth=2, rate=0.5)
+    got = trees.predicted_by_bins(df, {"p": model}, 2)
+    order = ["fit", "bins", "y", "w"]
+    assert got.orderBy(*order).collect() == trees.predicted(df, model, 2).withColumnRenamed("prediction", "p").select(got.columns).orderBy(*order).collect()

@@ -5,6 +5,11 @@ aggregate by fit, node, feature and bin, combined before it is shuffled. Only hi
 splits and leaf values reach the driver, at most 2^depth rows a fit and tree; rows never do. The
 loss is the squared error, or the pinball loss of a quantile, whose leaves are quantiles of
 residuals read off a histogram of them.
+
+Rows of a fit with equal bins share every prediction, so trees are grown from equal rows added up
+(summed): for the squared error from weights and means by vector of bins, for a quantile from
+weights by bins and y. They are kept while trees are grown, so the source is read once. Predictions,
+gradients and places in a tree are worked out by vector of bins and joined to the rows.
 """
 
 from __future__ import annotations
@@ -94,6 +99,24 @@ def predicted(rows: DataFrame, model: Model, depth: int) -> DataFrame:
     return out.withColumn("prediction", total).drop("base", "trees")
 
 
+def predicted_by_bins(rows: DataFrame, models: dict[str, Model], depth: int) -> DataFrame:
+    """rows (fit, bins) with a column of each model's prediction, worked out once for each fit and vector of bins.
+
+    For few cuts a feature: the table of vectors, at most the product of their numbers of bins a fit, is broadcast.
+    """
+    cells = rows.select("fit", "bins").distinct()
+    for name, model in models.items():
+        cells = predicted(cells, model, depth).withColumnRenamed("prediction", name)
+    return rows.join(F.broadcast(cells), ["fit", "bins"], "left")
+
+
+def summed(rows: DataFrame, by_y: bool) -> DataFrame:
+    """rows (fit, bins, y, w, held) with equal ones added up: their weight as w, and where y isn't one of the keys, their weighted mean as y."""
+    if by_y:
+        return rows.groupBy("fit", "bins", "held", "y").agg(F.sum("w").alias("w"))
+    return rows.groupBy("fit", "bins", "held").agg((F.sum(F.col("w") * F.col("y")) / F.sum("w")).alias("y"), F.sum("w").alias("w"))
+
+
 def histogram(rows: DataFrame, node: Column, gradient: Column) -> DataFrame:
     """fit, node, feature, bin: sums of weight (w) and of weighted gradient (g)."""
     each = rows.select("fit", node.alias("node"), "w", (F.col("w") * gradient).alias("g"), F.posexplode("bins").alias("feature", "bin"))
@@ -135,15 +158,27 @@ def loss_of(residual: Column, quantile: float | None) -> Column:
 def boosted(rows: DataFrame, rounds: int, depth: int, rate: float, least: float = 1.0, quantile: float | None = None, width: float = 1.0, patience: int | None = None) -> Model:
     """Fit trees on rows (fit, bins, y, w; held: rows that only judge when to stop).
 
-    A round is depth aggregates for the splits and one for the leaves, over all fits together. With
+    A round is one aggregate of gradients by vector of bins, depth aggregates of those for the splits,
+    and one of the rows for the leaves, over all fits together. With
     patience, a fit that has not improved on its held rows for so many rounds stops, and keeps the
     trees up to its best. Rows without y, or of weight 0, teach nothing. Without rows there is no fit.
     """
-    spark = rows.sparkSession
     if "held" not in rows.columns:
         rows = rows.withColumn("held", F.lit(False))
     rows = rows.select("fit", "bins", F.col("y").cast("double").alias("y"), "w", "held").where("y IS NOT NULL AND w > 0")
+    tasks = rows.sparkSession.sparkContext.defaultParallelism * (4 if quantile is not None else 1)
+    rows = summed(rows, quantile is not None).coalesce(tasks).persist()
+    try:
+        return _grown(rows, rounds, depth, rate, least, quantile, width, patience)
+    finally:
+        rows.unpersist()
+
+
+def _grown(rows: DataFrame, rounds: int, depth: int, rate: float, least: float, quantile: float | None, width: float, patience: int | None) -> Model:
+    """boosted() on rows added up. For the squared error a held row's loss is that of its mean: what it leaves out is the same every round."""
+    spark = rows.sparkSession
     taught = rows.where("NOT held")
+    cells = taught.select("fit", "bins").distinct().coalesce(spark.sparkContext.defaultParallelism).persist()
     base = {r.fit: r.value for r in leaf_values(taught, F.lit(0), F.col("y"), quantile, width).collect()}
     model = Model(base, {fit: [] for fit in base}, rate)
     best = {fit: (float("inf"), 0) for fit in base}
@@ -152,16 +187,19 @@ def boosted(rows: DataFrame, rounds: int, depth: int, rate: float, least: float
         if not live:
             break
         residual = F.col("y") - F.col("prediction")
-        scored = predicted(taught.where(F.col("fit").isin(sorted(live))), model, depth)
+        guessed = predicted(cells.where(F.col("fit").isin(sorted(live))), model, depth)
         gradient = residual if quantile is None else F.when(residual > 0, quantile).otherwise(quantile - 1)
+        sums = taught.join(guessed, ["fit", "bins"]).groupBy("fit", "bins").agg((F.sum(F.col("w") * gradient) / F.sum("w")).alias("g"), F.sum("w").alias("w")).coalesce(spark.sparkContext.defaultParallelism).persist()
         fresh = {fit: Tree(depth) for fit in live}
+        grown = lambda df, fresh=fresh: df.join(F.broadcast(Model({f: 0.0 for f in fresh}, {f: [t] for f, t in fresh.items()}, 1.0).frame(spark).drop("base")), "fit")
+        tree = F.get("trees", F.lit(0))
         for level in range(depth):
-            part = scored.join(F.broadcast(Model({f: 0.0 for f in fresh}, {f: [t] for f, t in fresh.items()}, 1.0).frame(spark).drop("base")), "fit")
-            hist = histogram(part, node_of(F.col("bins"), F.get("trees", F.lit(0)), level), gradient)
+            hist = histogram(grown(sums), node_of(F.col("bins"), tree, level), F.col("g"))
             for r in best_splits(hist, least).collect():
                 fresh[r.fit].splits[r.node] = (r.feature, r.bin)
-        part = scored.join(F.broadcast(Model({f: 0.0 for f in fresh}, {f: [t] for f, t in fresh.items()}, 1.0).frame(spark).drop("base")), "fit")
-        for r in leaf_values(part, node_of(F.col("bins"), F.get("trees", F.lit(0)), depth) - (1 << depth), residual, quantile, width).collect():
+        sums.unpersist()
+        placed = grown(guessed).select("fit", "bins", "prediction", (node_of(F.col("bins"), tree, depth) - (1 << depth)).alias("node"))
+        for r in leaf_values(taught.join(placed, ["fit", "bins"]), F.col("node"), residual, quantile, width).collect():
             fresh[r.fit].leaves[r.node] = r.value
         for fit, tree in fresh.items():
             model.trees[fit].append(tree)
@@ -174,4 +212,5 @@ def boosted(rows: DataFrame, rounds: int, depth: int, rate: float, least: float
                     live.discard(r.fit)
     if patience is not None:
         model.trees = {fit: trees[: best[fit][1]] if best[fit][0] < float("inf") else trees for fit, trees in model.trees.items()}
+    cells.unpersist()
     return model

@@ -52,8 +52,7 @@ def y01_boosted_trees(spark: SparkSession, d: str) -> DataFrame:
     """Trees refitted every two years on earlier years alone: rows served, error, and that of the refit's first guess."""
     model = trees.boosted(trees.walked(_lines(spark, d), "year", FITS, 1.0), rounds=5, depth=DEPTH, rate=0.6, least=20.0)
     base = trees.Model(model.base, {f: [] for f in model.base}, 1.0)
-    rows = trees.predicted(_served(spark, d), model, DEPTH).withColumnRenamed("prediction", "by_trees")
-    rows = trees.predicted(rows, base, DEPTH)
+    rows = trees.predicted_by_bins(_served(spark, d), {"by_trees": model, "prediction": base}, DEPTH)
     return rows.groupBy("fit", "year").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg(F.abs(F.col("y") - F.col("by_trees"))), 2).alias("mae"), F.round(F.avg(F.abs(F.col("y") - F.col("prediction"))), 2).alias("mae_first_guess"))
 
 
