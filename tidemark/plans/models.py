@@ -59,11 +59,11 @@ def y01_boosted_trees(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def y02_quantile_trees(spark: SparkSession, d: str) -> DataFrame:
     """Bands of the 10th, 50th and 90th percentile by pinball loss, sorted where they cross: coverage and loss by year."""
-    rows = _served(spark, d)
-    taught = trees.walked(_lines(spark, d), "year", FITS)
-    for q in (10, 50, 90):
-        model = trees.boosted(taught, rounds=3, depth=DEPTH, rate=1.0, least=20.0, quantile=q / 100, width=1000.0)
-        rows = trees.predicted(rows, model, DEPTH).withColumnRenamed("prediction", f"p{q}")
+    lines = _lines(spark, d).groupBy("year", "bins", "y").agg(F.count(F.lit(1)).alias("n")).persist()
+    taught = trees.walked(lines, "year", FITS).withColumn("w", F.col("w") * F.col("n"))
+    models = {f"p{q}": trees.boosted(taught, rounds=3, depth=DEPTH, rate=1.0, least=20.0, quantile=q / 100, width=1000.0) for q in (10, 50, 90)}
+    lines.unpersist()
+    rows = trees.predicted_by_bins(_served(spark, d), models, DEPTH)
     band = F.array_sort(F.array("p10", "p50", "p90"))
     rows = rows.withColumns({"low": band[0], "mid": band[1], "high": band[2]})
     inside = F.col("y").between(F.col("low"), F.col("high")).cast("int")
