@@ -89,3 +89,20 @@ def test_a_window_over_everything_is_a_leak(spark, store):
         return s["targets"].join(s["facts"].select(F.col("k").alias("fk"), F.col("known").alias("cut_"), ever.alias("ever")), (F.col("k") == F.col("fk")) & (F.col("cut") == F.col("cut_"))).select("k", "cut", "ever")
 
     assert not reported(spark, build, store)["truncation"][2]
+
+
+def test_a_report_builds_the_store_once_and_agrees_with_its_checks(spark, store):
+    built = []
+
+    def build(s):
+        built.append(s)
+        return gated(False)(s).unionByName(gated(True)(s).where("k = 2 AND n > 3")).where("n > 1")
+
+    changes, at, before = {"facts": {"v": F.col("v") + 1}}, planted(spark, day(3)), planted(spark, day(3, -1))
+    got = reported(spark, build, store)
+    assert len(built) == 5
+    a = audit(build, store)
+    found = {"truncation": a.truncated(F.lit(day(3))), "perturbation": a.perturbed(F.lit(day(3)), changes), "planted at the cutoff": a.planted(F.lit(day(3)), at), "planted before it": a.planted(F.lit(day(3)), before)}
+    for check, rows in found.items():
+        rows = rows.collect()
+        assert got[check][:2] == (len(rows), sorted({r.first_column for r in rows} - {None}))

@@ -1,7 +1,12 @@
 """Queries whose whole job shows only on rows that the given tables lack, against their SQL on made-up tables."""
 
+from datetime import datetime
+
 import duckdb
+import pytest
 
+import __spark_entry__  # noqa: F401  registers the queries when this file is run alone
+from tidemark.plans import matrix
 from tidemark.plans.registry import QUERIES, SQL
 
 
@@ -28,3 +33,23 @@ def test_difference_is_of_all_orders(spark, tmp_path):
     orders = [(1, "1-URGENT", "P"), (2, "5-LOW", "O"), (9, "1-URGENT", "P")]
     got, want = both(spark, tmp_path, "u02_difference", {"customer": (customers, "c_custkey long"), "orders": (orders, "o_custkey long, o_orderpriority string, o_orderstatus string")})
     assert got == want == [(3,), (4,), (None,)]
+
+
+def events(odd=True):
+    """Users with many events, one event, none for weeks, and where odd: without a stamp, with only such ones, without a user, below 0."""
+    rows = [(k, datetime(2024, 1, 1 + k * 7 % 29, k % 24, k % 60), k * k % 37, ("view", "error", "purchase", "click", "signup")[k % 5], float(k % 50) + 0.25) for k in range(300)]
+    rows += [(300, datetime(2024, 1, 5, 23), 48, "view", 1.0), (301, datetime(2024, 1, 12), 49, "error", 4.0), (302, datetime(2024, 1, 30), 50, "purchase", 2.0)]
+    if odd:
+        rows += [(310 + k, None, (3, 4, 64, 65, 66, 66)[k], "view", 3.0) for k in range(6)] + [(320, datetime(2024, 1, 9), None, "error", 1.0), (321, None, None, "view", 1.0), (322, datetime(2024, 1, 9), -5, "click", 1.0)]
+    return [(*r, '{"k": 1}') for r in rows], "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+
+
+@pytest.mark.parametrize("name", ["g24_matrix", "g15_streak", "g22_opponent_out"])
+def test_the_matrix_of_odd_events(spark, tmp_path, name):
+    got, want = both(spark, tmp_path, name, {"events": events()})
+    assert got == want and len(got) > 100
+
+
+def test_targets_of_the_matrix_pass_two_shuffles(spark):
+    plan = matrix.matrix_of(spark.createDataFrame(*events()))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(") == 2 and "SortMergeJoin" not in plan

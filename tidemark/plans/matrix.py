@@ -4,16 +4,19 @@ Events stand in for play: a user is a player, user_id % 16 the team, a day on wh
 event a game of it, and team t meets t + 1 or t - 1. All families are windows over daily rows that
 end before the current day, so nothing pairs a target with its history; families of teams are
 computed at the grain of team and day and joined to targets once. matrix_of() builds everything from
-one table of events, so that an audit can run it on altered ones.
+one table of events, so that an audit can run it on altered ones: daily rows and team days are written
+once, a user's rows pass one shuffle by user, and targets one by team and day. Rows without a day are
+last in every order, as in the SQL, and have no target.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import scalars as S
 from tidemark.plans.registry import query
+from tidemark.sources.scratch import saved, scratch
 from tidemark.sources.tables import table
 
 TEAMS = 16
@@ -72,23 +75,28 @@ def _sql(select: str, *names: str) -> str:
 
 
 def daily(events: DataFrame) -> DataFrame:
-    """One row per user and day with any event."""
+    """One row per user and day with any event; span and gaps are of the stamps of that day, in microseconds."""
+    stamp = F.unix_micros(F.col("ts").cast("timestamp"))
     kind = lambda k: F.count_if(F.col("event_type") == k)
     rows = events.groupBy("user_id", F.to_date("ts").alias("day")).agg(
-        F.count(F.lit(1)).alias("n"), *[kind(k).alias(c) for k, c in (("view", "views"), ("error", "errors"), ("purchase", "buys"), ("click", "clicks"))], F.sum(F.round("value", 2).cast("decimal(18,2)")).alias("v")
+        F.count(F.lit(1)).alias("n"), *[kind(k).alias(c) for k, c in (("view", "views"), ("error", "errors"), ("purchase", "buys"), ("click", "clicks"))], F.sum(F.round("value", 2).cast("decimal(18,2)")).alias("v"),
+        F.when(F.count("ts") > 1, F.max(stamp) - F.min(stamp)).alias("span"), F.greatest(F.count("ts") - 1, F.lit(0)).alias("gaps"),
     )
     return rows.withColumns({"team": F.col("user_id") % TEAMS, "i": F.date_diff("day", F.lit("2024-01-01").cast("date")).cast("long")})
 
 
 def team_days(rows: DataFrame) -> DataFrame:
     """One row per team and day with any event, and whom it meets."""
-    out = rows.groupBy("team", "day", "i").agg(*[F.sum(c).alias(c) for c in ("n", "v", "errors", "views", "buys")])
+    out = rows.groupBy("team", "day", "i").agg(*[F.sum(c).alias(c) for c in ("n", "v", "errors", "views", "buys", "span", "gaps")])
     return out.withColumn("opponent", F.col("team") + 1 - 2 * (F.col("team") % 2))
 
 
+def _by_day(key: str):
+    return Window.partitionBy(key).orderBy(F.col("day").asc_nulls_last())
+
+
 def _past(key: str, n: int | None = None):
-    w = Window.partitionBy(key).orderBy("day")
-    return w.rowsBetween(Window.unboundedPreceding if n is None else -n, -1)
+    return _by_day(key).rowsBetween(Window.unboundedPreceding if n is None else -n, -1)
 
 
 def targets(rows: DataFrame, teams: DataFrame) -> DataFrame:
@@ -127,11 +135,11 @@ def team_ratings(events: DataFrame, teams: DataFrame) -> DataFrame:
 
 def opponent_out(rows: DataFrame, teams: DataFrame) -> DataFrame:
     """How many of the opponent's first three by recent use were reported the day before; NULL without a report."""
-    used = rows.withColumn("use3", F.sum("n").over(_past("user_id", 3)))
+    w = _by_day("user_id")
+    reported = (F.lag("i").over(w) == F.col("i") - 1) & (F.lag("errors").over(w) > 0)
+    used = rows.select("user_id", "team", "day", "i", F.sum("n").over(_past("user_id", 3)).alias("use3"), F.when(reported, 1).alias("out"))
     place = F.row_number().over(Window.partitionBy("team", "day").orderBy(F.col("use3").desc_nulls_last(), "user_id"))
-    depth = used.withColumn("place", place).where("place <= 3").select("user_id", "team", "i")
-    reported = rows.where("errors > 0").select("user_id", (F.col("i") + 1).alias("i"), F.lit(1).alias("out"))
-    outs = depth.join(reported, ["user_id", "i"], "left").groupBy(F.col("team").alias("opponent"), "i").agg(F.count("out").alias("outs"))
+    outs = used.withColumn("place", place).where("place <= 3").groupBy(F.col("team").alias("opponent"), "i").agg(F.count("out").alias("outs"))
     report = teams.select(F.col("team").alias("opponent"), (F.col("i") + 1).alias("i"), F.col("errors").alias("report"))
     out = teams.select("team", "day", "i", "opponent").join(outs, ["opponent", "i"], "left").join(report, ["opponent", "i"], "left")
     return out.select("team", "day", F.when(F.col("report") > 0, F.coalesce("outs", F.lit(0))).alias("opponent_out"))
@@ -139,30 +147,66 @@ def opponent_out(rows: DataFrame, teams: DataFrame) -> DataFrame:
 
 def streaks(rows: DataFrame) -> DataFrame:
     """Entering each day played: the signed run above or below the own mean (5 at most), the best three days in turn, the last day."""
-    w = Window.partitionBy("user_id").orderBy("day")
+    w = _by_day("user_id")
     k, mean = F.row_number().over(w), F.avg("n").over(_past("user_id"))
     full3 = F.when(k >= 3, F.avg("n").over(w.rowsBetween(-2, 0)))
     sign = F.when(mean.isNull(), 0).otherwise(F.signum(F.col("n") - mean).cast("int"))
-    signed = rows.select("user_id", "day", k.alias("k"), full3.alias("full3"), sign.alias("sign"))
+    signed = rows.withColumns({"k": k, "full3": full3, "sign": sign})
     changed = F.when(~F.lag("sign").over(w).eqNullSafe(F.col("sign")), F.col("k"))
     run = signed.withColumn("changed", changed).withColumn("run", F.col("sign") * F.least(F.lit(5), F.col("k") - F.max("changed").over(w.rowsBetween(Window.unboundedPreceding, 0)) + 1))
-    return run.select("user_id", "day", F.lag("run").over(w).cast("long").alias("run_before"), F.max("full3").over(_past("user_id")).alias("best3"), F.lag("day").over(w).alias("last_day"))
+    entering = {"run_before": F.lag("run").over(w).cast("long"), "best3": F.max("full3").over(_past("user_id")), "last_day": F.lag("day").over(w)}
+    return run.withColumns(entering).drop("k", "full3", "sign", "changed", "run")
+
+
+def team_calendar(teams: DataFrame) -> DataFrame:
+    """Each team's days numbered from 1, with how many there are and when the team's first lines came out."""
+    team = Window.partitionBy("team")
+    out = F.min(S.next_weekday(F.col("day"), "Fri")).over(team)
+    there = teams.where("day IS NOT NULL")
+    return there.select("team", "day", "i", "opponent", F.col("n").alias("team_n"), F.row_number().over(team.orderBy("day")).alias("game"), F.count(F.lit(1)).over(team).alias("games"), out.alias("first"))
+
+
+def appearances(rows: DataFrame) -> DataFrame:
+    """Daily rows with what belongs to days played alone: the two days played before, and the streaks."""
+    w = _by_day("user_id")
+    return streaks(rows.withColumns({"a2": F.lag("n", 1).over(w), "a3": F.lag("n", 2).over(w)}))
 
 
-def own_history(wanted: DataFrame, rows: DataFrame) -> DataFrame:
+def filled(rows: DataFrame, calendar: DataFrame) -> DataFrame:
+    """The targets with their daily rows, without a join of the two.
+
+    Each daily row stands for its own team day and those up to the user's next row, the first one
+    for the days before it as well; figures are kept on its own day. The calendar has a row per team
+    and day and is broadcast.
+    """
+    w = _by_day("user_id")
+    figures = [c for c in rows.columns if c not in ("user_id", "team", "day", "i")]
+    ends = F.broadcast(calendar.where("game = games").select("team", "games"))
+    at = rows.drop("i").join(ends, "team").join(F.broadcast(calendar.select("team", "day", "game")), ["team", "day"], "left")
+    begin = F.when(F.row_number().over(w) == 1, 1).otherwise(F.col("game"))
+    until = F.coalesce(F.lead("game").over(w) - 1, F.col("games")).cast("int")
+    # a row without a day has no place, and stands for all days only where the user has no other row
+    spread = at.withColumns({"begin": begin, "until": until}).withColumn("own", F.col("game")).drop("day", "game", "games")
+    spread = spread.select("*", F.explode(F.sequence("begin", "until")).alias("game")).drop("begin", "until")
+    played = F.col("own") == F.col("game")
+    out = spread.select("user_id", "team", "game", *[F.when(played, F.col(c)).alias(c) for c in figures])
+    out = out.join(F.broadcast(calendar.drop("games")), ["team", "game"])
+    return out.withColumns({"home": F.col("team") % 2 == 0, "played": F.col("n").isNotNull()}).drop("game")
+
+
+def own_history(wanted: DataFrame) -> DataFrame:
     """Targets with what each user had done before the day: use, lags, shares, rates, shape, reports and absences.
 
     Everything is a window over the user's targets that ends before the current one; days not
     played count in windows of three team days, and not in means and lags.
     """
-    w, p, three = Window.partitionBy("user_id").orderBy("day"), _past("user_id"), _past("user_id", 3)
-    week = Window.partitionBy("user_id").orderBy("i").rangeBetween(-7, -1)
-    appeared = rows.select("user_id", "day", F.lag("n", 1).over(w).alias("a2"), F.lag("n", 2).over(w).alias("a3"))
+    w = Window.partitionBy("user_id").orderBy("i")
+    p, three, week = w.rowsBetween(Window.unboundedPreceding, -1), w.rowsBetween(-3, -1), w.rangeBetween(-7, -1)
     last = lambda c: F.last(c, ignorenulls=True).over(p)
     zero = lambda c, over: F.coalesce(F.sum(c).over(over), F.lit(0))
     ratio = lambda a, b, over: F.round(F.sum(a).over(over).cast("double") / F.nullif(F.sum(b).over(over), F.lit(0)), 6)
     played, reported = F.col("n").isNotNull(), F.col("errors") > 0
-    base = wanted.join(appeared, ["user_id", "day"], "left").withColumn("k", F.row_number().over(w))
+    base = wanted.withColumn("k", F.row_number().over(w))
     return base.withColumns({
         "n_before": F.count("n").over(p), "mean_n": F.avg("n").over(p), "last_n": last("n"), "lag2": last("a2"), "lag3": last("a3"),
         "use3": zero("n", three), "per_game3": zero("n", three).cast("double") / F.nullif(F.count(F.lit(1)).over(three), F.lit(0)), "played3": F.count("n").over(three),
@@ -197,30 +241,27 @@ def team_allowed(teams: DataFrame) -> DataFrame:
     return out.withColumns({f"allowed_{c}_rank": F.rank().over(Window.partitionBy("day").orderBy(F.col(f"allowed_{c}3").desc_nulls_last())).cast("long") for c in kinds})
 
 
-def team_tempo(events: DataFrame) -> DataFrame:
-    """Of a team's three games before: seconds between events of one user and day, and the volume by a linear rule."""
-    stamp = F.unix_micros(F.col("ts").cast("timestamp"))
-    e = events.select((F.col("user_id") % TEAMS).alias("team"), F.to_date("ts").alias("day"), "user_id", "event_id", "ts")
-    e = e.withColumn("gap", stamp - F.lag(stamp).over(Window.partitionBy("user_id", "day").orderBy("ts", "event_id")))
-    g = e.groupBy("team", "day").agg((F.sum("gap").cast("double") / F.nullif(F.count("gap"), F.lit(0)) / 1e6).alias("tempo"), F.count(F.lit(1)).alias("n"))
+def team_tempo(teams: DataFrame) -> DataFrame:
+    """Of a team's three games before: seconds between events of one user and day, and the volume by a linear rule.
+
+    The gaps of a user's day add up to the time from its first event to its last.
+    """
+    g = teams.withColumn("tempo", F.col("span").cast("double") / F.nullif(F.col("gaps"), F.lit(0)) / 1e6)
     return g.select("team", "day", F.round(F.avg("tempo").over(_past("team", 3)), 4).alias("tempo3"), F.round(10 + 0.5 * F.avg("n").over(_past("team", 3)), 6).alias("expected_volume"))
 
 
-def publications(wanted: DataFrame, rows: DataFrame) -> DataFrame:
+def publications(wanted: DataFrame) -> DataFrame:
     """What had come out before each target's day, when lines come out on the Friday after they happen.
 
     Before a team's first publication nothing is covered, and both are NULL; after it, a user without
-    lines has 0. Lines and targets are put in one stream by date, so none are paired.
+    lines has 0. In the order of their own Fridays, what is out by a day are the lines at least a week
+    back, and two weeks on a Friday, as that day's come out on it.
     """
-    out = S.next_weekday(F.col("day"), "Fri")
-    first = rows.groupBy("team").agg(F.min(out).alias("first"))
-    lines = rows.select("user_id", out.alias("at"), F.lit(1).alias("one"), F.col("n").alias("line_n"))
-    both = wanted.select("user_id", "team", F.col("day").alias("at"), "day").unionByName(lines, allowMissingColumns=True)
-    number = F.date_diff("at", F.lit("1970-01-01").cast("date")).cast("long")
-    w = Window.partitionBy("user_id").orderBy(number).rangeBetween(Window.unboundedPreceding, -1)
-    seen = both.select("user_id", "team", "day", F.count("one").over(w).alias("reports"), F.coalesce(F.sum("line_n").over(w), F.lit(0)).alias("lines_n")).where("day IS NOT NULL")
+    friday = S.next_weekday(F.col("day"), "Fri")
+    w = Window.partitionBy("user_id").orderBy(F.date_diff(friday, F.lit("1970-01-01").cast("date")).cast("long"))
+    out = lambda c: F.when(F.weekday("day") == 4, c.over(w.rangeBetween(Window.unboundedPreceding, -14))).otherwise(c.over(w.rangeBetween(Window.unboundedPreceding, -7)))
     covered = F.col("first") < F.col("day")
-    return seen.join(first, "team").select("user_id", "day", F.when(covered, F.col("reports")).alias("reports_published"), F.when(covered, F.col("lines_n")).alias("n_published"))
+    return wanted.withColumns({"reports_published": F.when(covered, out(F.count("n"))), "n_published": F.when(covered, F.coalesce(out(F.sum("n")), F.lit(0)))})
 
 
 @query(_sql("select user_id, team, day, opponent, home, played from targets", "d", "td", "targets"))
@@ -260,7 +301,7 @@ def g09_team_context(spark: SparkSession, d: str) -> DataFrame:
 @query(_sql("select user_id, day, run_before, best3, last_day from streak", "d", "streak0", "streak"))
 def g15_streak(spark: SparkSession, d: str) -> DataFrame:
     """One row per user and day played: what its runs were before it."""
-    return streaks(daily(table(spark, d, "events")))
+    return streaks(daily(table(spark, d, "events"))).select("user_id", "day", "run_before", "best3", "last_day")
 
 
 @query(_sql("select * from ratings", "d", "td", "rated", "rating", "ratings"))
@@ -333,21 +374,24 @@ def columns_of(families: list[str]) -> list[str]:
     return [c for f, cs in FEATURES.items() if f in families for c in cs]
 
 
-def matrix_of(events: DataFrame) -> DataFrame:
+def matrix_of(events: DataFrame, more: dict[str, Column] | None = None) -> DataFrame:
     """One row per target: keys, labels, and all families as known before the day; streaks only where the user played.
 
-    One shuffle by user for history, one by team and day for roles, and one join with the families
-    of teams, which have a row per team and day.
+    more: further columns by name, worked out with the history, where all targets of a user lie in
+    one task, and put after the features. Daily rows, and families of teams, which have a row per
+    team and day, are read many times and are written under spark.checkpoint.dir first.
     """
-    rows = daily(events)
-    teams = team_days(rows)
-    wanted = targets(rows, teams)
+    folder, more = scratch(events.sparkSession, "matrix"), more or {}
+    rows = saved(daily(events), folder, "daily")
+    teams = saved(team_days(rows).coalesce(1), folder, "teams")
     of_team = team_context(teams).drop("opponent")
-    for family in (team_ratings(events, teams), opponent_out(rows, teams), team_allowed(teams), team_tempo(events)):
+    for family in (team_ratings(events, teams), opponent_out(rows, teams), team_allowed(teams), team_tempo(teams)):
         of_team = of_team.join(family, ["team", "day"])
-    full = roles(own_history(wanted, rows)).join(streaks(rows).drop("last_day"), ["user_id", "day"], "left").join(publications(wanted, rows), ["user_id", "day"]).join(of_team, ["team", "day"])
+    of_team, calendar = saved(of_team.coalesce(1), folder, "of_team"), saved(team_calendar(teams).coalesce(1), folder, "calendar")
+    wanted = filled(appearances(rows.drop("span", "gaps")), calendar)
+    full = roles(publications(own_history(wanted)).withColumns(more)).join(F.broadcast(of_team), ["team", "day"])
     full = full.withColumns({"season_day": F.col("i"), "weekday": F.weekday("day") + 1, "y": F.col("n")})
-    return full.select(*KEYS, *LABELS, *columns_of(list(FEATURES)))
+    return full.select(*KEYS, *LABELS, *columns_of(list(FEATURES)), *more)
 
 
 @query(_sql(f"""select t.user_id, t.team, t.day, t.played, t.n as y, t.i as season_day, isodow(t.day) as weekday, {", ".join(f"{x}.{c}" for f, cs in FEATURES.items() for c in cs if c not in ("season_day", "weekday")
