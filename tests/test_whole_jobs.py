@@ -4,9 +4,10 @@ from datetime import datetime
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__  # noqa: F401  registers the queries when this file is run alone
-from tidemark.plans import matrix
+from tidemark.plans import audits, matrix
 from tidemark.plans.registry import QUERIES, SQL
 
 
@@ -53,3 +54,13 @@ def test_the_matrix_of_odd_events(spark, tmp_path, name):
 def test_targets_of_the_matrix_pass_two_shuffles(spark):
     plan = matrix.matrix_of(spark.createDataFrame(*events()))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning(") == 2 and "SortMergeJoin" not in plan
+
+
+def test_the_leaky_copy_passes_no_further_shuffle(spark):
+    rows = spark.createDataFrame(*events())
+    got = audits.leaky({"events": rows})
+    assert got._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(") == 2
+    full = matrix.matrix_of(rows)
+    ever = {r.user_id: r.m for r in full.groupBy("user_id").agg(F.round(F.avg("y"), 6).alias("m")).collect()}
+    want = {(r.user_id, r.day): (r.y, ever[r.user_id]) for r in full.collect()}
+    assert {(r.user_id, r.day): (r.today, r.mean_ever) for r in got.collect()} == want
