@@ -124,6 +124,16 @@ def test_negatives_of_empty_tables_and_of_lone_labels(spark):
     assert hard_negatives.mined(vectors(spark, [(1, [3e38], 0), (2, [2e38], 0), (3, [4.0], 1)]), every).collect() == []
 
 
+def test_blocks_of_anchors_and_chunks_are_not_broadcast(spark, monkeypatch):
+    plans, kept = [], hard_negatives.saved
+    monkeypatch.setattr(hard_negatives, "saved", lambda df, *a: plans.append(df._jdf.queryExecution().executedPlan().toString()) or kept(df, *a))
+    monkeypatch.setattr(hard_negatives, "ROUNDS", (64,))  # no later round, whose few k-th scores may be broadcast
+    hard_negatives.mined(vectors(spark, [(i, v, i % 3) for i, v in enumerate(drawn(60, 8, 3))]), F.col("vec_id") % 10 == 0).collect()
+    rounds = [p for p in plans if p.count("MapInArrow") == 2]
+    below = [p.partition("BroadcastExchange")[2] for p in rounds]
+    assert len(rounds) == 2 and not any("MapInArrow" in p for p in below)
+
+
 def test_lists_beyond_the_bound_and_outside_the_window_are_not_visited():
     low, high = np.array([[0.0, 5.0, 40.0]]), np.array([[10.0, 20.0, 60.0]])
     one = lambda x: np.array([[x]], dtype=float)

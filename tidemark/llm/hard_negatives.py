@@ -6,7 +6,8 @@ row's score with an anchor a lies within a.c - |a| r and a.c + |a| r. An anchor
 falling order of the upper bound, in rounds of growing size; it passes over lists whose range
 misses its windows of wanted scores, and is done when the upper bound falls strictly below the
 k-th score that it has. So the result is that of comparing all pairs. Lists are kept in chunks of
-bounded size, dealt by hash, so that a list that holds most rows is many units of work.
+bounded size, dealt by hash, so that a list that holds most rows is many units of work. Blocks of
+anchors meet chunks by a shuffle and a sort; neither is ever broadcast.
 """
 
 from __future__ import annotations
@@ -118,14 +119,20 @@ def best(scores: np.ndarray, fits: np.ndarray, k: int) -> tuple[np.ndarray, np.n
 
 def _scorer(d: int, exact: bool, same: bool, k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = held = None
         for batch in batches:
-            for i in range(batch.num_rows):
-                asked = pa.ipc.open_stream(batch.column(0)[i].as_py()).read_next_batch()
-                rows = batch.column(1)[i].values
-                ids = rows.field("vec_id")
-                order = np.lexsort((np.asarray(ids.fill_null(0)), np.asarray(ids.is_null())))
-                keys, labels = np.asarray(rows.field("key"))[order], np.asarray(rows.field("label"))[order]
-                x, a = matrix(rows.field("x"), d)[order], matrix(asked.column(2), d)
+            chunks = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
+            for i, chunk in enumerate(chunks):
+                if batch.column(3)[i].is_valid:  # comes before those that ask for it
+                    rows = batch.column(3)[i].values
+                    ids = rows.field("vec_id")
+                    order = np.lexsort((np.asarray(ids.fill_null(0)), np.asarray(ids.is_null())))
+                    at, held = chunk, (ids.take(pa.array(order)), np.asarray(rows.field("key"))[order], np.asarray(rows.field("label"))[order], matrix(rows.field("x"), d)[order])
+                    continue
+                if at != chunk:  # no row of the list is in this chunk
+                    continue
+                asked, (ids, keys, labels, x) = pa.ipc.open_stream(batch.column(2)[i].as_py()).read_next_batch(), held
+                a = matrix(asked.column(2), d)
                 scores = (a.astype(np.float64) @ x.T.astype(np.float64)).astype(np.int64) if exact else a @ x.T
                 fits = (np.asarray(asked.column(1))[:, None] == labels) == same
                 fits &= np.asarray(asked.column(0))[:, None] != keys
@@ -133,7 +140,7 @@ def _scorer(d: int, exact: bool, same: bool, k: int) -> Callable[[Iterator[pa.Re
                 for w in range(least.shape[1]):
                     r, c = best(scores, fits & (scores >= least[:, w, None]) & (scores <= most[:, w, None]), k)
                     if len(r):
-                        yield pa.RecordBatch.from_arrays([asked.column(0).take(pa.array(r)), pa.array(np.full(len(r), w, dtype=np.int32)), pa.array(scores[r, c]), ids.take(pa.array(order[c]))], names=["key", "w", "score", "vec_id"])
+                        yield pa.RecordBatch.from_arrays([asked.column(0).take(pa.array(r)), pa.array(np.full(len(r), w, dtype=np.int32)), pa.array(scores[r, c]), ids.take(pa.array(c))], names=["key", "w", "score", "vec_id"])
 
     return score
 
@@ -154,6 +161,17 @@ class Lists:
         packed = self.rows.withColumn("chunk", F.pmod("key", parts)).groupBy("list", "chunk").agg(F.collect_list(F.struct("vec_id", "label", "x", "key")).alias("rows"))
         self.packed = saved(packed, folder, "lists")
 
+    def _meeting(self, routed: DataFrame) -> DataFrame:
+        """Chunks and the blocks of anchors that ask for them, each chunk just before its blocks, in one shuffle.
+
+        Not a join: Spark takes the blocks for as small as the anchors, of which each chunk has a
+        copy, and would broadcast them through the driver; a join would also pass a whole chunk on
+        with each block.
+        """
+        blocks = routed.withColumn("rows", F.lit(None).cast(self.packed.schema["rows"].dataType))
+        every = self.packed.select("list", "chunk", F.lit(None).cast("binary").alias("asked"), "rows").unionByName(blocks)
+        return every.repartition("list", "chunk").sortWithinPartitions("list", "chunk", F.col("asked").isNotNull())
+
     def search(self, queries: DataFrame, windows: int, same: bool, k: int, name: str) -> DataFrame:
         """The first k rows for each query and window by falling score, then vec_id: key, w, place (from 1), score, vec_id.
 
@@ -171,7 +189,7 @@ class Lists:
                 full = full.groupBy("key").agg(*[F.max(F.when(F.col("w") == w, F.col("s"))).alias(f"_{w}") for w in range(windows)])
                 asked = queries.join(full, "key", "left").select("key", "label", "x", "least", "most", F.array(*[F.col(f"_{w}") for w in range(windows)]).alias("kth"))
             routed = asked.mapInArrow(_router(self.centres, self.radii, self.chunks, begin, end), "list int, chunk long, asked binary")
-            scored = routed.join(self.packed, ["list", "chunk"]).select("asked", "rows").mapInArrow(_scorer(self.d, self.exact, same, k), "key long, w int, score long, vec_id long")
+            scored = self._meeting(routed).mapInArrow(_scorer(self.d, self.exact, same, k), "key long, w int, score long, vec_id long")
             every = scored if hits is None else scored.unionByName(hits.select("key", "w", "score", "vec_id"))
             ordered = Window.partitionBy("key", "w").orderBy(F.desc("score"), F.asc_nulls_last("vec_id"))
             hits = saved(every.withColumn("place", F.row_number().over(ordered)).where(F.col("place") <= k), self.folder, f"{name}-{end}")
