@@ -36,6 +36,16 @@ def test_difference_is_of_all_orders(spark, tmp_path):
     assert got == want == [(3,), (4,), (None,)]
 
 
+def test_pairs_without_a_prediction_count(spark, tmp_path):
+    at, nan = lambda d: datetime(1995, 1, d, 7), float("nan")
+    rows = [(k, k * 7 % 11 if k % 5 else None, float(k * k % 13), at(1 + k % 2)) for k in range(60)]
+    rows += [(100, None, 1.0, at(5)), (101, 4, 2.0, at(5)), (102, None, 1.0, at(6)), (103, 3, 2.0, at(6)), (104, 5, 3.0, at(6)), (105, 1, 2.0, at(7)), (106, 2, 2.0, at(7))]
+    rows += [(110, 3, None, at(1)), (111, 3, 4.0, None), (112, 3, 5.0, None), (None, 3, 5.0, at(1)), (None, 4, 6.0, at(1)), (114, 3, nan, at(1)), (115, 9, nan, at(1)), (116, None, nan, at(1))]
+    rows += [rows[1], rows[3], (7, 2, 40.0, at(2)), (7, 9, 1.0, at(2)), (10, 2, 4.5, at(1)), (11, None, 0.5, at(2))]  # copies, and one key with several prices
+    got, want = both(spark, tmp_path, "j13_pair_accuracy", {"orders": (rows, "o_orderkey long, o_custkey long, o_totalprice double, o_orderdate timestamp_ntz")})
+    assert got == want and got[2:] == [("1995-01-05", 1, None), ("1995-01-06", 3, 1.0)]
+
+
 def events(odd=True):
     """Users with many events, one event, none for weeks, and where odd: without a stamp, with only such ones, without a user, below 0."""
     rows = [(k, datetime(2024, 1, 1 + k * 7 % 29, k % 24, k % 60), k * k % 37, ("view", "error", "purchase", "click", "signup")[k % 5], float(k % 50) + 0.25) for k in range(300)]
